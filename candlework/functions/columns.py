@@ -8,7 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlework.functions.numeric import percent, round_to
+from candlework.functions.numeric import (
+    PRICE_DIGITS,
+    from_units,
+    percent,
+    round_to,
+    to_units,
+)
 
 PRICE_COLUMNS = ["open", "high", "low", "close"]
 
@@ -52,7 +58,8 @@ def cast_volume(volume: Column, strict: bool = True) -> Column:
 
 
 def daily_range(high: Column, low: Column) -> Column:
-    return round_to(high - low, 2)
+    """Difference of two prices in cents."""
+    return from_units(to_units(high - low, PRICE_DIGITS), PRICE_DIGITS)
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

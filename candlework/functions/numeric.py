@@ -2,7 +2,7 @@
 
 A price is counted in cents, a return in 1/10000 percent. Sums of whole units
 are exact, so a mean does not depend on how Spark split the rows; the one
-division is followed by a round to a whole unit, half away from zero.
+division rounds to a whole unit, half away from zero, in long arithmetic.
 """
 
 from pyspark.sql import Column
@@ -13,8 +13,10 @@ RETURN_DIGITS = 4
 
 
 def to_units(value: Column, digits: int) -> Column:
-    """Whole units of ``10**-digits`` as a long."""
-    return F.round(value * 10**digits).cast("long")
+    """Whole units of ``10**-digits`` of a value with at most ``digits`` decimals."""
+    # Such a product is a whole number but for floating noise, which rint removes
+    # without the decimal detour that Spark's round takes.
+    return F.rint(value * float(10**digits)).cast("long")
 
 
 def from_units(units: Column, digits: int) -> Column:
@@ -22,17 +24,24 @@ def from_units(units: Column, digits: int) -> Column:
 
 
 def round_to(value: Column, digits: int) -> Column:
-    """Round half away from zero to ``digits`` decimals, as a double."""
+    """Any double, rounded half away from zero to ``digits`` decimals."""
     return F.round(value * float(10**digits)) / F.lit(float(10**digits))
 
 
+def divide(part: Column, whole: Column) -> Column:
+    """Quotient of two longs, rounded half away from zero; NULL for a zero divisor."""
+    size = F.nullif(F.abs(whole), F.lit(0).cast("long"))
+    quotient = F.call_function("div", F.abs(part) * 2 + size, size * 2)
+    return F.when((part < 0) != (whole < 0), -quotient).otherwise(quotient)
+
+
 def mean_of_units(total: Column, count: Column, digits: int) -> Column:
     """Mean of ``count`` values whose units add up to ``total``; NULL for none."""
-    return from_units(F.round(F.try_divide(total.cast("double"), count)), digits)
+    return from_units(divide(total, count), digits)
 
 
 def mean(value: Column, digits: int) -> Column:
-    """Aggregate: the mean of ``value``, rounded to ``digits``, nulls skipped."""
+    """Aggregate: mean of values with at most ``digits`` decimals, nulls skipped."""
     units = to_units(value, digits)
     return mean_of_units(F.sum(units), F.count(units), digits)
 

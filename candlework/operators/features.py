@@ -11,6 +11,7 @@ from candlework.functions.columns import daily_range
 from candlework.functions.numeric import (
     PRICE_DIGITS,
     RETURN_DIGITS,
+    divide,
     from_units,
     mean_of_units,
     to_units,
@@ -50,11 +51,9 @@ def _before_frame(frames: Sequence[int]):
 
 
 def _return_pct() -> Column:
-    # Cents cancel out; 100 for percent times 10**4 for the return's units.
-    change = (F.col("_cents") - F.col("_previous")).cast("double") * 1_000_000.0
-    return from_units(
-        F.round(F.try_divide(change, F.col("_previous"))), RETURN_DIGITS
-    )
+    # 100 for percent times 10**4 for the return's units; the cents cancel out.
+    change = (F.col("_cents") - F.col("_previous")) * 1_000_000
+    return from_units(divide(change, F.col("_previous")), RETURN_DIGITS)
 
 
 def _moving_average(n: int) -> Column:

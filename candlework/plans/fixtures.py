@@ -40,7 +40,7 @@ def bars_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bars_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ticker per supplier: many tickers."""
     rows = table(spark, sf_dir, "lineitem").select(
-        F.concat(F.lit("S"), F.col("l_suppkey")).alias("ticker"),
+        F.col("l_suppkey").alias("ticker"),
         F.col("l_shipdate").cast("date").alias("date"),
         F.col("l_extendedprice").alias("price"),
         "l_orderkey",
@@ -50,7 +50,9 @@ def bars_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # l_orderkey and l_linenumber alone do not tell all rows apart.
     order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "price")
-    return _bars(rows, order, F.sum(F.col("l_quantity").cast("bigint")))
+    bars = _bars(rows, order, F.sum(F.col("l_quantity").cast("bigint")))
+    # Grouped by number, named afterwards.
+    return bars.withColumn("ticker", F.concat(F.lit("S"), F.col("ticker")))
 
 
 def bars_events(spark: SparkSession, sf_dir: str) -> DataFrame:
