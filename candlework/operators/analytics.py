@@ -167,16 +167,14 @@ def join_summary(
 ) -> DataFrame:
     """Each bar with its ticker's average volume.
 
-    The summary is broadcast if a count shows that it is small. Otherwise the
-    tables are merged by ticker, and adaptive execution splits a hot ticker's
+    The summary is broadcast if a count shows that it is small. Otherwise both
+    sides are shuffled by ticker, and adaptive execution splits a hot ticker's
     partition (spark.sql.adaptive.skewJoin).
     """
     averages = summary.select("ticker", "avg_daily_volume")
     tickers = summary.select("ticker").limit(broadcast_rows + 1).count()
     if tickers <= broadcast_rows:
         averages = F.broadcast(averages)
-    else:
-        averages = averages.hint("merge")
     return enriched.join(averages, "ticker")
 
 

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
 
 from candlework.functions.columns import (
     PRICE_COLUMNS,
@@ -16,6 +15,7 @@ from candlework.functions.columns import (
     parse_date,
     round_prices,
 )
+from candlework.operators.ordered import range_sorted
 
 CRITICAL = ["date", "close", "ticker"]
 
@@ -61,7 +61,7 @@ def clean_bars(
 
 def sort_bars(df: DataFrame) -> DataFrame:
     """Rows in ticker, date order, for output; windows do not need it."""
-    return df.orderBy("ticker", "date")
+    return range_sorted(df, "ticker", "date")
 
 
 def date_window(df: DataFrame, start: dt.date, end: dt.date) -> DataFrame:

@@ -98,9 +98,17 @@ def add_features(
 
 
 def golden_cross_events(
-    enriched: DataFrame, *, unique_days: bool = True, hot_rows: int = HOT_ROWS
+    enriched: DataFrame,
+    order_by: str | Sequence[str] = "date",
+    *,
+    unique_days: bool = True,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Days on which ma_7 rises above ma_30, having been at or below it before."""
+    """Days on which ma_7 rises above ma_30, having been at or below it before.
+
+    The enriched table is unique per ticker and day; say so if ``enriched`` is not.
+    """
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
 
     def previous(window: WindowSpec) -> dict[str, Column]:
         return {
@@ -110,8 +118,8 @@ def golden_cross_events(
 
     columns = ["ticker", "date", "close", "ma_7", "ma_30"]
     rows = over_ticker(
-        enriched.select(*columns),
-        ["date"],
+        enriched.select(*columns, *[c for c in order if c not in columns]),
+        order,
         [previous],
         reach=1,
         unique_days=unique_days,

@@ -39,6 +39,24 @@ def hot_tickers(df: DataFrame, hot_rows: int = HOT_ROWS) -> list[str]:
     return [row["ticker"] for row in sizes.collect()]
 
 
+def range_sorted(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` globally sorted by ``by``, in partitions of even size.
+
+    Rows that tie on ``by`` are told apart by their content and, when they are the
+    same in every column, by a scan id; so even a group of copies spreads over many
+    partitions. Swapping such ids between equal rows changes nothing, hence a
+    re-run task cannot alter the result.
+    """
+    rest = [c for c in df.columns if c not in by]
+    total_order = [*by, *rest, "_scan_id"]
+    return (
+        df.withColumn("_scan_id", F.monotonically_increasing_id())
+        .repartitionByRange(*total_order)
+        .sortWithinPartitions(*total_order)
+        .drop("_scan_id")
+    )
+
+
 def over_ticker(
     df: DataFrame,
     order_by: Sequence[str],
@@ -79,25 +97,14 @@ def _in_blocks(
     hot_rows: int,
 ) -> DataFrame:
     block_rows = max(hot_rows, reach)
-    columns = df.columns
-
-    # 1. Range-sort the rows. Rows that tie on the order are told apart by their
-    # content and, when they are the same in every column, by a scan id; so even
-    # a group of copies spreads over many partitions. Swapping such ids between
-    # equal rows changes nothing, hence a re-run task cannot alter the result.
-    rest = [c for c in columns if c != "ticker" and c not in order_by]
-    total_order = ["ticker", *order_by, *rest, "_scan_id"]
-    ranged = (
-        df.withColumn("_scan_id", F.monotonically_increasing_id())
-        .repartitionByRange(*total_order)
-        .sortWithinPartitions(*total_order)
-        .drop("_scan_id")
+
+    # 1. Sort, and number the rows. The partition bounds come from a sample, so the
+    # outcome is kept in reliable storage: the two readings below must agree.
+    ranged = checkpointed(
+        range_sorted(df, "ticker", *order_by)
         .withColumn("_partition", F.spark_partition_id())
         .withColumn("_position", F.monotonically_increasing_id())
     )
-    # The partition bounds come from a sample. Keep the outcome in reliable
-    # storage: the two readings below must see the same partitions.
-    ranged = checkpointed(ranged)
 
     # 2. First position and row count of each ticker within each partition: one
     # row per partition and ticker boundary, so its size is bounded by the

@@ -12,9 +12,12 @@ from pyspark.sql import types as T
 
 from candlework.functions.columns import snake_case_columns
 from candlework.schemas import ENRICHED, SUMMARY
+from candlework.session import checkpointed
 
 # More distinct headers than this means that the folder does not hold bar files.
 MAX_HEADERS = 1_000
+# A list of this many files, with paths of ordinary length, is some tens of MB.
+BROADCAST_FILES = 200_000
 
 
 def require_non_empty(df: DataFrame, name: str, on_empty: str = "raise") -> DataFrame | None:
@@ -38,18 +41,16 @@ def _csv_options(reader):
     return reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
 
 
-def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
-    """The files below ``path``, grouped by equal first line.
+def _first_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, header``: the hash of the first line of each file below ``path``.
 
     One task reads the start of a file, in order, so its lowest id is its first
-    line. Lines are compared by hash: the aggregate then holds longs only and
-    needs no sort of the text. The list of files is no longer than the listing
-    any scan of the folder keeps on the driver.
+    line. The aggregate holds longs only and needs no sort of the text.
     """
-    first_lines = (
+    return (
         _csv_options(spark.read)
         .text(path)
-        .where(F.col("_metadata.file_block_start") == 0)
+        .where((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
         .select(
             F.col("_metadata.file_path").alias("file"),
             F.xxhash64("value").alias("line"),
@@ -58,20 +59,65 @@ def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
         .groupBy("file")
         .agg(F.min_by("line", "id").alias("header"))
     )
-    groups = (
+
+
+def _columns_of(spark: SparkSession, file: str) -> list[str]:
+    # The metadata column gives an encoded URI, the reader expects a plain path.
+    lines = spark.read.text(unquote(file)).where(F.trim("value") != "")
+    header = next(csv.reader([lines.first()["value"]]))
+    return [c.lower().replace(" ", "_") for c in header]
+
+
+def _read_text(
+    spark: SparkSession, path: str, columns: Sequence[str], check_header: bool
+) -> DataFrame:
+    """The files by position, as ``columns``, with the path of each row's file."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    rows = (
+        _csv_options(spark.read)
+        .option("header", True)
+        .option("enforceSchema", not check_header)
+        .schema(schema)
+        .csv(path)
+    )
+    return rows.select("*", F.col("_metadata.file_path").alias("_file"))
+
+
+def _read_by_name(spark: SparkSession, path: str) -> DataFrame:
+    """One scan of all files by position, then each column picked by file header."""
+    first_lines = checkpointed(_first_lines(spark, path))
+    kinds = (
         first_lines.groupBy("header")
-        .agg(F.sort_array(F.collect_list("file")).alias("files"))
+        .agg(F.min("file").alias("example"))
+        .orderBy("example")
         .limit(MAX_HEADERS + 1)
         .collect()
     )
-    if len(groups) > MAX_HEADERS:
+    if not kinds:
+        raise FileNotFoundError(f"no CSV files in {path}")
+    if len(kinds) > MAX_HEADERS:
         raise ValueError(f"more than {MAX_HEADERS} different headers in {path}")
-    # The metadata column gives encoded URIs, the readers expect plain paths.
-    return sorted([unquote(f) for f in g["files"]] for g in groups)
-
+    headers = {k["header"]: _columns_of(spark, k["example"]) for k in kinds}
+    if len(headers) == 1:
+        return _read_text(spark, path, *headers.values(), check_header=False)
+
+    width = max(len(columns) for columns in headers.values())
+    rows = _read_text(spark, path, [f"_{i}" for i in range(width)], check_header=False)
+    files = first_lines.select(F.col("file").alias("_file"), "header")
+    if files.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES:
+        files = F.broadcast(files)
+    rows = rows.join(files, "_file")
+
+    def named(name: str):
+        places = [
+            F.when(F.col("header") == header, F.col(f"_{columns.index(name)}"))
+            for header, columns in headers.items()
+            if name in columns
+        ]
+        return F.coalesce(*places).alias(name)
 
-def _header_of(spark: SparkSession, file: str) -> list[str]:
-    return next(csv.reader([spark.read.text(file).first()["value"]]))
+    names = list(dict.fromkeys(c for columns in headers.values() for c in columns))
+    return rows.select(*[named(n) for n in names], "_file")
 
 
 def read_bars_csv(
@@ -79,42 +125,22 @@ def read_bars_csv(
 ) -> DataFrame:
     """Every ``*.csv`` below ``path`` as text columns, matched by column name.
 
-    Spark matches the columns of several CSV files by position. So the files are
-    read once per distinct header and the results united by name; that costs a
-    look at the text for the headers. Give ``columns`` where every file is known
-    to have that header: one read, and a file that differs is an error.
+    Spark matches the columns of several CSV files by position, so the headers are
+    looked up first, at the cost of a scan of the text; a column a file lacks is
+    NULL there. Give ``columns`` where every file is known to have that header:
+    nothing is looked up, and a file that differs is an error.
 
     ``seq`` orders the rows by file path and place in the file, to tell which of
     two bars came last; raw files are named by ticker and run date.
     """
-    if columns is not None:
-        rows = _read_with_header(spark, path, columns)
+    if columns is None:
+        rows = _read_by_name(spark, path)
     else:
-        groups = _files_by_header(spark, path)
-        if not groups:
-            raise FileNotFoundError(f"no CSV files in {path}")
-        rows = union_by_name(
-            *[
-                _read_with_header(spark, files, _header_of(spark, files[0]))
-                for files in groups
-            ]
-        )
+        rows = snake_case_columns(_read_text(spark, path, columns, check_header=True))
     row = F.monotonically_increasing_id()
     return rows.withColumn("seq", F.struct("_file", row.alias("row"))).drop("_file")
 
 
-def _read_with_header(spark: SparkSession, path, columns: Sequence[str]) -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    rows = (
-        _csv_options(spark.read)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .schema(schema)
-        .csv(path)
-    )
-    return snake_case_columns(rows.select("*", F.col("_metadata.file_path").alias("_file")))
-
-
 def read_enriched(spark: SparkSession, path: str) -> DataFrame:
     """The enriched table, in its declared columns; partition columns are dropped."""
     return spark.read.parquet(path).select(*ENRICHED.fieldNames())

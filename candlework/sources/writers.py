@@ -15,16 +15,13 @@ from pyspark.sql import functions as F
 
 from candlework.functions.columns import landing_key
 from candlework.operators.clean import date_window
+from candlework.operators.ordered import range_sorted
 from candlework.operators.upsert import merge_upsert
 
 RECORDS_PER_FILE = 5_000_000
 SUMMARY_BUCKETS = 16
 
 
-def _arranged(df: DataFrame, *by: str) -> DataFrame:
-    return df.repartitionByRange(*by).sortWithinPartitions(*by)
-
-
 def land_raw(
     df: DataFrame,
     path: str,
@@ -40,7 +37,7 @@ def land_raw(
         df = date_window(df, start, end)
     keyed = df.withColumn("landing_key", landing_key(F.col("ticker"), run_date))
     (
-        _arranged(keyed, "landing_key", "date")
+        range_sorted(keyed, "landing_key", "date")
         .write.mode("overwrite")
         .option("header", True)
         .option("maxRecordsPerFile", RECORDS_PER_FILE)
@@ -51,7 +48,7 @@ def land_raw(
 
 def write_enriched(enriched: DataFrame, path: str) -> None:
     (
-        _arranged(enriched, "ticker", "date")
+        range_sorted(enriched, "ticker", "date")
         .write.mode("overwrite")
         .option("maxRecordsPerFile", RECORDS_PER_FILE)
         .parquet(path)
@@ -114,7 +111,7 @@ def upsert_table(
             "slice", slice_of
         )
     (
-        _arranged(sliced, "slice", *keys)
+        range_sorted(sliced, "slice", *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", RECORDS_PER_FILE)

@@ -1,7 +1,5 @@
 """Every registered query against DuckDB on the same tables."""
 
-import math
-
 import pytest
 
 import __spark_entry__ as entry
@@ -11,42 +9,26 @@ QUERIES = entry.queries()
 # No SQL: the sizes of written files.
 ROWS_ONLY = {"lake_manifest"}
 
-TYPES = {"tinyint": "int", "smallint": "int", "integer": "int", "double": "double"}
-
-
-def _sorted_rows(rows, names):
-    order = sorted(range(len(names)), key=lambda i: names[i])
-
-    def plain(v):
-        return "NaN" if isinstance(v, float) and math.isnan(v) else v
-
-    picked = [tuple(plain(r[i]) for i in order) for r in rows]
-    return sorted(picked, key=lambda r: [(v is None, str(v)) for v in r])
-
 
-def _type(name):
-    name = str(name).lower()
-    return {"bigint": "long", "integer": "int", "varchar": "string"}.get(name, name)
+def _types(relation):
+    return dict(zip(relation.columns, map(str, relation.types)))
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(name, spark, sf_dir, oracle):
-    df = QUERIES[name](spark, sf_dir)
-    ours = df.collect()
+    ours = QUERIES[name](spark, sf_dir).toArrow()
     if name in ROWS_ONLY:
-        assert ours
+        assert ours.num_rows > 0
         return
-    relation = oracle.sql(ORACLE[name])
-    theirs = relation.fetchall()
-    assert sorted(df.columns) == sorted(relation.columns)
-    spark_types = {
-        f.name: _type(f.dataType.simpleString()) for f in df.schema.fields
-    }
-    duck_types = {c: _type(t) for c, t in zip(relation.columns, relation.types)}
-    spark_types = {c: {"bigint": "long"}.get(t, t) for c, t in spark_types.items()}
-    assert spark_types == duck_types
+    ours = oracle.from_arrow(ours)
+    theirs = oracle.sql(ORACLE[name])
+    assert _types(ours) == _types(theirs)
+    columns = ", ".join(f'"{c}"' for c in sorted(ours.columns))
+    ours, theirs = ours.project(columns), theirs.project(columns)
     assert len(ours) == len(theirs)
-    assert _sorted_rows(ours, df.columns) == _sorted_rows(theirs, relation.columns)
+    # EXCEPT ALL counts copies, takes NULL as equal to NULL and NaN to NaN.
+    assert ours.except_(theirs).limit(5).fetchall() == []
+    assert theirs.except_(ours).limit(5).fetchall() == []
 
 
 def test_every_query_has_an_oracle_or_is_listed():
