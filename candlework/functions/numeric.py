@@ -29,7 +29,7 @@ def round_to(value: Column, digits: int) -> Column:
 
 
 def divide(part: Column, whole: Column) -> Column:
-    """Quotient of two longs, rounded half away from zero; NULL for a zero divisor."""
+    """Quotient of whole numbers, rounded half away from zero; NULL for divisor zero."""
     size = F.nullif(F.abs(whole), F.lit(0).cast("long"))
     quotient = F.call_function("div", F.abs(part) * 2 + size, size * 2)
     return F.when((part < 0) != (whole < 0), -quotient).otherwise(quotient)
@@ -43,7 +43,8 @@ def mean_of_units(total: Column, count: Column, digits: int) -> Column:
 def mean(value: Column, digits: int) -> Column:
     """Aggregate: mean of values with at most ``digits`` decimals, nulls skipped."""
     units = to_units(value, digits)
-    return mean_of_units(F.sum(units), F.count(units), digits)
+    # A group has no bound on its rows, so its sum may exceed a long.
+    return mean_of_units(F.sum(units.cast("decimal(20,0)")), F.count(units), digits)
 
 
 def percent(part: Column, whole: Column, digits: int) -> Column:

@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from candlework.session import checkpointed
+from candlework.session import stored
 
 # A window task of this many bars sorts and spills comfortably.
 HOT_ROWS = 5_000_000
@@ -99,11 +99,12 @@ def _in_blocks(
     block_rows = max(hot_rows, reach)
 
     # 1. Sort, and number the rows. The partition bounds come from a sample, so the
-    # outcome is kept in reliable storage: the two readings below must agree.
-    ranged = checkpointed(
+    # outcome is written down: the two readings below must agree.
+    ranged = stored(
         range_sorted(df, "ticker", *order_by)
         .withColumn("_partition", F.spark_partition_id())
-        .withColumn("_position", F.monotonically_increasing_id())
+        .withColumn("_position", F.monotonically_increasing_id()),
+        "ranged",
     )
 
     # 2. First position and row count of each ticker within each partition: one

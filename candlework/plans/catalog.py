@@ -162,7 +162,12 @@ def upsert_enriched_table(spark, sf_dir):
     path = scratch_path(spark, "table")
     for rows in (existing, incoming):
         writers.upsert_table(
-            rows, path, ENRICHED_KEYS, ENRICHED_UPDATES, writers.enriched_slice()
+            rows,
+            path,
+            ENRICHED,
+            ENRICHED_KEYS,
+            ENRICHED_UPDATES,
+            writers.enriched_slice(),
         )
     return readers.read_enriched(spark, path)
 

@@ -270,7 +270,7 @@ WHERE ma_7 IS NOT NULL""",
     "write_summary": f"""WITH {_S5}
 SELECT * REPLACE (CAST(total_trading_days AS INTEGER) AS total_trading_days) FROM summary""",
     "upsert_enriched": _UPSERT,
-    "upsert_enriched_table": _UPSERT,
+    "upsert_enriched_table": _CONFORM.replace("FROM enriched", f"FROM ({_UPSERT})"),
     "upsert_summary": f"""WITH {_E},
 existing AS (SELECT * FROM enriched WHERE date < DATE '2000-06-01'),
 later AS (SELECT * FROM enriched WHERE date >= DATE '1996-01-01'),

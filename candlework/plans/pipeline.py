@@ -7,12 +7,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlework.functions.columns import nan_to_null
-from candlework.operators.clean import clean_bars, dedup_keep_last
+from candlework.operators.clean import clean_bars
 from candlework.operators.features import add_features
 from candlework.operators.quality import quality_report
 from candlework.operators.summary import ticker_summary
-from candlework.operators.upsert import conform_schema
 from candlework.schemas import (
     BAR_COLUMNS,
     ENRICHED,
@@ -54,17 +52,19 @@ def transform(spark: SparkSession, raw_path: str, root: str) -> tuple[DataFrame,
 
 def load(enriched: DataFrame, summary: DataFrame, root: str) -> None:
     """Upsert both results into the tables below ``<root>/tables``."""
-    rows = dedup_keep_last(nan_to_null(enriched), ENRICHED_KEYS, "seq")
     upsert_table(
-        conform_schema(rows, ENRICHED),
+        enriched,
         f"{root}/tables/enriched_stocks",
+        ENRICHED,
         ENRICHED_KEYS,
         ENRICHED_UPDATES,
         enriched_slice(),
+        last_by="seq",
     )
     upsert_table(
-        conform_schema(nan_to_null(summary), SUMMARY),
+        summary,
         f"{root}/tables/ticker_summary",
+        SUMMARY,
         SUMMARY_KEYS,
         SUMMARY_UPDATES,
         summary_slice(),

@@ -1,31 +1,25 @@
-"""Session settings the package relies on, and the shared scratch folder."""
+"""The shared scratch folder."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and tables written between two jobs.
+    """The shared folder for tables written between two jobs.
 
     A cluster names it in ``spark.checkpoint.dir``. Only a local session may go
     without: every executor then sees this machine's disk anyway.
     """
-    context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        root = context.getCheckpointDir()
-    if root is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError(
-                "set spark.checkpoint.dir to a folder all executors share"
-            )
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="candlework-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(root)
+        spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
@@ -34,7 +28,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
-    """``df`` read back from reliable storage, so lost executors cannot re-run it."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint()
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the scratch folder and read back.
+
+    Cuts the lineage: what was computed stays as it is when executors are lost,
+    and several readers see the same rows, each only the columns it needs.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

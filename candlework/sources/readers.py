@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from candlework.functions.columns import snake_case_columns
 from candlework.schemas import ENRICHED, SUMMARY
-from candlework.session import checkpointed
+from candlework.session import stored
 
 # More distinct headers than this means that the folder does not hold bar files.
 MAX_HEADERS = 1_000
@@ -85,7 +85,7 @@ def _read_text(
 
 def _read_by_name(spark: SparkSession, path: str) -> DataFrame:
     """One scan of all files by position, then each column picked by file header."""
-    first_lines = checkpointed(_first_lines(spark, path))
+    first_lines = stored(_first_lines(spark, path), "first-lines")
     kinds = (
         first_lines.groupBy("header")
         .agg(F.min("file").alias("example"))

@@ -12,11 +12,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from candlework.functions.columns import landing_key
-from candlework.operators.clean import date_window
+from candlework.functions.columns import landing_key, nan_to_null
+from candlework.operators.clean import date_window, dedup_keep_last
 from candlework.operators.ordered import range_sorted
-from candlework.operators.upsert import merge_upsert
+from candlework.operators.upsert import conform_schema, merge_upsert
 
 RECORDS_PER_FILE = 5_000_000
 SUMMARY_BUCKETS = 16
@@ -88,30 +89,34 @@ def summary_slice() -> Column:
 def upsert_table(
     incoming: DataFrame,
     path: str,
+    schema: StructType,
     keys: Sequence[str],
     update_cols: Sequence[str],
     slice_of: Column,
+    last_by: str | None = None,
 ) -> None:
     """Upsert ``incoming`` into the Parquet table at ``path``, creating it if absent.
 
+    NaN is stored as NULL. Of several rows with one key, the one with the highest
+    ``last_by`` counts; without ``last_by`` the keys must be unique.
+
     The table is partitioned by ``slice_of``, an expression over the keys with few
     values (months, or buckets). Only the slices that ``incoming`` touches are
     read and replaced, each at the commit of the write, so a daily run costs in
     proportion to its own months and not to the table.
     """
     spark = incoming.sparkSession
-    sliced = incoming.withColumn("slice", slice_of)
+    rows = nan_to_null(incoming)
+    if last_by is not None:
+        rows = dedup_keep_last(rows, list(keys), last_by)
+    rows = conform_schema(rows, schema)
     if _exists(spark, path):
-        stored = spark.read.parquet(path)
-        # Bounded by the calendar or the number of buckets.
-        touched = [r["slice"] for r in sliced.select("slice").distinct().collect()]
-        stored = stored.where(F.col("slice").isin(touched))
-        stored = stored.select(*incoming.columns)
-        sliced = merge_upsert(stored, incoming, keys, update_cols).withColumn(
-            "slice", slice_of
-        )
+        # Bounded by the calendar or the number of buckets; reads the keys alone.
+        touched = [r[0] for r in incoming.select(slice_of).distinct().collect()]
+        table = spark.read.parquet(path).where(F.col("slice").isin(touched))
+        rows = merge_upsert(table.select(*schema.fieldNames()), rows, keys, update_cols)
     (
-        range_sorted(sliced, "slice", *keys)
+        range_sorted(rows.withColumn("slice", slice_of), "slice", *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", RECORDS_PER_FILE)

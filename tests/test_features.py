@@ -104,6 +104,8 @@ def test_ties_round_away_from_zero(spark):
     cents = spark.createDataFrame([(0.125,), (-0.125,), (2.5,)], "x double")
     got = [r.y for r in cents.select(round_to(F.col("x"), 2).alias("y")).collect()]
     assert got == [0.13, -0.13, 2.5]
+    large = spark.range(4).select((F.lit(9e16) + F.col("id") * 0).alias("x"))
+    assert large.agg(mean(F.col("x"), 2).alias("m")).first().m == 9e16
     pair = spark.createDataFrame([(0.01,), (0.02,), (None,)], "x double")
     assert pair.agg(mean(F.col("x"), 2).alias("m")).first().m == 0.02
     assert pair.where("x > 1").agg(mean(F.col("x"), 2).alias("m")).first().m is None

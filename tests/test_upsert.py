@@ -52,19 +52,30 @@ def test_table_upsert_touches_only_its_months(spark):
     existing, incoming, expected = sides(spark)
     path = scratch_path(spark, "t")
     month = F.trunc("d", "MM")
-    upsert_table(existing, path, ["k", "d"], ["changed"], month)
+    upsert_table(existing, path, existing.schema, ["k", "d"], ["changed"], month)
 
     def january():
         return sorted(spark.read.parquet(f"{path}/slice=2024-01-01").inputFiles())
 
     before = january()
     for _ in range(2):
-        upsert_table(incoming, path, ["k", "d"], ["changed"], month)
+        upsert_table(incoming, path, existing.schema, ["k", "d"], ["changed"], month)
         stored = spark.read.parquet(path).drop("slice").select(*existing.columns)
         assert rows_of(stored) == expected
     assert january() == before
 
 
+def test_table_upsert_takes_the_last_row_of_a_key_and_no_nan(spark):
+    path = scratch_path(spark, "t")
+    rows = [("A", JAN, float("nan"), 1.0, 1), ("A", JAN, float("nan"), 2.0, 2)]
+    df = spark.createDataFrame(rows, SCHEMA + ", seq int")
+    schema = df.drop("seq").schema
+    month = F.trunc("d", "MM")
+    upsert_table(df, path, schema, ["k", "d"], ["changed"], month, last_by="seq")
+    stored = spark.read.parquet(path).select(*schema.fieldNames())
+    assert rows_of(stored) == [("A", JAN, None, 2.0)]
+
+
 def test_conform_casts_and_refuses_overflow(spark):
     base = dict.fromkeys(ENRICHED.fieldNames())
     base.update(ticker="A", date=dt.date(2024, 1, 1), close=1.5, volume=3)
