@@ -40,11 +40,21 @@ def mean_of_units(total: Column, count: Column, digits: int) -> Column:
     return from_units(divide(total, count), digits)
 
 
+def exact_sum(units: Column) -> Column:
+    """Aggregate: sum of longs that may exceed a long, as a decimal.
+
+    The upper bits and the lower 20 bits are summed apart: long additions for each
+    row, and decimals only for each group. Good for groups of up to 8e12 rows.
+    """
+    upper, lower = F.shiftright(units, 20), units.bitwiseAND(F.lit(2**20 - 1))
+    return F.sum(upper).cast("decimal(20,0)") * 2**20 + F.sum(lower)
+
+
 def mean(value: Column, digits: int) -> Column:
     """Aggregate: mean of values with at most ``digits`` decimals, nulls skipped."""
     units = to_units(value, digits)
     # A group has no bound on its rows, so its sum may exceed a long.
-    return mean_of_units(F.sum(units.cast("decimal(20,0)")), F.count(units), digits)
+    return mean_of_units(exact_sum(units), F.count(units), digits)
 
 
 def percent(part: Column, whole: Column, digits: int) -> Column:

@@ -70,16 +70,18 @@ def over_ticker(
 
     Each step maps the ordered window to new columns and may use the columns of
     the step before; no step may look back further than ``reach`` rows in all.
+    Rows without a ticker belong to no series and are left out.
+
     ``unique_days`` says that (ticker, date) is unique. A ticker then has at most
     one row per calendar day, which bounds its task, and no size check is run.
     """
+    df = df.where(F.col("ticker").isNotNull())
+    window = Window.partitionBy("ticker").orderBy(*order_by)
     hot = [] if unique_days else hot_tickers(df, hot_rows)
     if not hot:
-        return _apply(df, Window.partitionBy("ticker").orderBy(*order_by), steps)
-    is_hot = F.coalesce(F.col("ticker").isin(hot), F.lit(False))
-    cold = _apply(
-        df.where(~is_hot), Window.partitionBy("ticker").orderBy(*order_by), steps
-    )
+        return _apply(df, window, steps)
+    is_hot = F.col("ticker").isin(hot)
+    cold = _apply(df.where(~is_hot), window, steps)
     return cold.unionByName(_in_blocks(df.where(is_hot), order_by, steps, reach, hot_rows))
 
 

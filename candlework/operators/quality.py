@@ -16,6 +16,7 @@ from candlework.operators.summary import (
     null_critical_count,
     table_row_counts,
 )
+from candlework.operators.union import union_by_name
 
 # The check names as they appear in the report, spelled as there.
 ROW_COUNT = "Row Count"
@@ -182,37 +183,31 @@ def quality_report(
     start: dt.date = EARLIEST_START,
     require_both: bool = False,
 ) -> DataFrame:
-    """All seven checks, in order (``ord``), from one pass over each table."""
+    """All seven checks, in order (``ord``).
+
+    One pass counts over the whole table, one counts rows per key.
+    """
     wanted = list(expected)
-    per_key = enriched.groupBy("ticker", "date").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count("close").alias("n_close"),
+    no_key = F.col("ticker").isNull() | F.col("date").isNull()
+    counts = enriched.agg(
+        F.count(F.lit(1)).alias("e"),
+        F.count_if(no_key | F.col("close").isNull()).alias("n_null"),
         F.count_if(F.col("close") <= 0).alias("n_bad"),
+        F.min("date").alias("first"),
+        F.max("date").alias("last"),
         F.count("ma_7").alias("n_7"),
         F.count("ma_30").alias("n_30"),
     )
-    keyless = F.col("ticker").isNull() | F.col("date").isNull()
-    n_null = F.when(keyless, F.col("n")).otherwise(F.col("n") - F.col("n_close"))
-
-    def total(c: Column | str) -> Column:
-        return F.coalesce(F.sum(c), F.lit(0))
-
-    facts = per_key.agg(
-        total("n").alias("e"),
-        total(n_null).alias("n_null"),
-        F.count_if(F.col("n") > 1).alias("n_dup"),
-        total("n_bad").alias("n_bad"),
-        F.min("date").alias("first"),
-        F.max("date").alias("last"),
-        total("n_7").alias("n_7"),
-        total("n_30").alias("n_30"),
+    keys = enriched.groupBy("ticker", "date").count()
+    keys = keys.agg(
+        F.count_if(F.col("count") > 1).alias("n_dup"),
         # No larger than the list of expected tickers: the others are NULL here.
         F.collect_set(F.when(F.col("ticker").isin(wanted), F.col("ticker"))).alias("seen"),
     )
-    # Two one-row frames side by side, folded into one row.
-    both = facts.unionByName(
-        summary.agg(F.count(F.lit(1)).alias("s")), allowMissingColumns=True
-    ).agg(*[F.max(c).alias(c) for c in [*facts.columns, "s"]])
+    # One-row frames, folded into one row.
+    facts = [counts, keys, summary.agg(F.count(F.lit(1)).alias("s"))]
+    names = [c for df in facts for c in df.columns]
+    both = union_by_name(*facts).agg(*[F.max(c).alias(c) for c in names])
     missing = F.array_except(
         F.array(*[F.lit(t) for t in wanted]).cast("array<string>"), F.col("seen")
     )

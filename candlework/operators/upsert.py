@@ -10,10 +10,21 @@ from pyspark.sql import types as T
 
 
 def conform_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The columns of ``schema``, in its order and types; overflow is an error."""
-    return df.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
-    )
+    """The columns of ``schema``, in its order and types.
+
+    A value that does not fit its type is an error, and so is NULL in a column
+    declared without.
+    """
+
+    def column(field: T.StructField):
+        value = F.col(field.name).cast(field.dataType)
+        if not field.nullable:
+            message = F.lit(f"{field.name} is missing")
+            missing = F.raise_error(message).cast(field.dataType)
+            value = F.when(value.isNull(), missing).otherwise(value)
+        return value.alias(field.name)
+
+    return df.select(*[column(f) for f in schema.fields])
 
 
 def merge_upsert(

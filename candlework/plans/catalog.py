@@ -9,8 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlework.functions import columns as C
-from candlework.operators import analytics, clean, features, quality, summary, upsert
+from candlework.operators import (
+    analytics,
+    clean,
+    features,
+    quality,
+    summary,
+    union,
+    upsert,
+)
 from candlework.plans import fixtures as fx
+from candlework.plans import pipeline
 from candlework.schemas import (
     BAR_COLUMNS,
     ENRICHED,
@@ -217,6 +226,30 @@ def constraint_violations(spark, sf_dir):
     return upsert.constraint_violations(bars, bars.select("ticker").distinct())
 
 
+# Pipeline
+
+
+def _run_pipeline(spark: SparkSession, sf_dir: str, times: int) -> tuple[str, DataFrame]:
+    raw, root = scratch_path(spark, "raw"), scratch_path(spark, "run")
+    writers.land_raw(fx.bars_orders(spark, sf_dir), raw, RUN_DATE)
+    for _ in range(times):
+        report = pipeline.run(spark, raw, root, fx.TICKERS, RUN_DATE, START)
+    return root, report
+
+
+@_query
+def pipeline_report(spark, sf_dir):
+    """Raw files to tables to the quality report."""
+    return _run_pipeline(spark, sf_dir, 1)[1]
+
+
+@_query
+def pipeline_tables(spark, sf_dir):
+    """The enriched table after a run and a rerun."""
+    root, _ = _run_pipeline(spark, sf_dir, 2)
+    return pipeline.tables(spark, root)[0]
+
+
 # Columns
 
 
@@ -343,7 +376,7 @@ def recency_filter(spark, sf_dir):
 
 @_query
 def union_by_name(spark, sf_dir):
-    return readers.union_by_name(
+    return union.union_by_name(
         fx.bars_orders(spark, sf_dir), fx.bars_events(spark, sf_dir).drop("open")
     )
 

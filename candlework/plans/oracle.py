@@ -296,6 +296,9 @@ UNION ALL SELECT 'ticker_summary.ticker not null', count(*) FILTER (ticker IS NU
   FROM (SELECT DISTINCT ticker FROM dirty)
 UNION ALL SELECT 'ticker_summary.(ticker) unique', count(*)
   FROM (SELECT ticker FROM (SELECT DISTINCT ticker FROM dirty) GROUP BY 1 HAVING count(*) > 1)""",
+    # Pipeline
+    "pipeline_report": f"WITH {_S5} {_REPORT}",
+    "pipeline_tables": f"WITH {_E5} {_CONFORM}",
     # Columns
     "snake_case_columns": f"""WITH {_ORDERS}
 SELECT ticker AS day_ticker, date AS day_date, open AS day_open, high AS day_high,

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="candlework-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for tables written between two jobs.
 
@@ -15,12 +21,11 @@ def scratch_root(spark: SparkSession) -> str:
     without: every executor then sees this machine's disk anyway.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="candlework-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if root is not None:
+        return root
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return _local_root()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

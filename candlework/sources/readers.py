@@ -29,14 +29,6 @@ def require_non_empty(df: DataFrame, name: str, on_empty: str = "raise") -> Data
     raise FileNotFoundError(f"no rows in {name}")
 
 
-def union_by_name(*frames: DataFrame) -> DataFrame:
-    """All rows of all frames; a column a frame lacks is NULL there."""
-    union = frames[0]
-    for df in frames[1:]:
-        union = union.unionByName(df, allowMissingColumns=True)
-    return union
-
-
 def _csv_options(reader):
     return reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
 

@@ -1,8 +1,9 @@
 """Writers of raw bar files and bar tables.
 
-Tables are range-partitioned and sorted before they are written. The files of a
-large ticker then come from several tasks, and Parquet's min/max statistics let
-a filter on ticker or date skip most files.
+Rows are sorted within each task, so that Parquet's min/max statistics let a
+filter on ticker or date skip most row groups. Where files are kept in one folder
+per ticker or month, rows are brought together by a rebalance: adaptive execution
+merges small folders into one task and splits a large one over several.
 """
 
 from __future__ import annotations
@@ -16,13 +17,16 @@ from pyspark.sql.types import StructType
 
 from candlework.functions.columns import landing_key, nan_to_null
 from candlework.operators.clean import date_window, dedup_keep_last
-from candlework.operators.ordered import range_sorted
 from candlework.operators.upsert import conform_schema, merge_upsert
 
 RECORDS_PER_FILE = 5_000_000
 SUMMARY_BUCKETS = 16
 
 
+def _by_folder(df: DataFrame, folder: str, *order: str) -> DataFrame:
+    return df.hint("rebalance", F.col(folder)).sortWithinPartitions(folder, *order)
+
+
 def land_raw(
     df: DataFrame,
     path: str,
@@ -38,7 +42,7 @@ def land_raw(
         df = date_window(df, start, end)
     keyed = df.withColumn("landing_key", landing_key(F.col("ticker"), run_date))
     (
-        range_sorted(keyed, "landing_key", "date")
+        _by_folder(keyed, "landing_key", "date")
         .write.mode("overwrite")
         .option("header", True)
         .option("maxRecordsPerFile", RECORDS_PER_FILE)
@@ -48,8 +52,9 @@ def land_raw(
 
 
 def write_enriched(enriched: DataFrame, path: str) -> None:
+    """No shuffle: rows that come from the feature windows are in this order already."""
     (
-        range_sorted(enriched, "ticker", "date")
+        enriched.sortWithinPartitions("ticker", "date")
         .write.mode("overwrite")
         .option("maxRecordsPerFile", RECORDS_PER_FILE)
         .parquet(path)
@@ -116,7 +121,7 @@ def upsert_table(
         table = spark.read.parquet(path).where(F.col("slice").isin(touched))
         rows = merge_upsert(table.select(*schema.fieldNames()), rows, keys, update_cols)
     (
-        range_sorted(rows.withColumn("slice", slice_of), "slice", *keys)
+        _by_folder(rows.withColumn("slice", slice_of), "slice", *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", RECORDS_PER_FILE)

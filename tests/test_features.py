@@ -71,6 +71,12 @@ def test_tickers_do_not_bleed(spark):
     assert [r.daily_return_pct for r in rows] == [None, 100.0, None, -50.0]
 
 
+def test_rows_without_ticker_are_left_out(spark):
+    df = frame(spark, [1.0, 2.0]).union(frame(spark, [3.0] * 5, None))
+    for hot_rows in (1, 10):
+        assert add_features(df, hot_rows=hot_rows).count() == 2
+
+
 def test_previous_close_of_zero_gives_null(spark):
     rows = add_features(frame(spark, [0.0, 5.0, 10.0])).orderBy("date").collect()
     assert [r.daily_return_pct for r in rows] == [None, None, 100.0]

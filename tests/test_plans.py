@@ -81,11 +81,15 @@ def test_volume_spikes_broadcast_only_a_counted_summary(table):
         spark.conf.unset(limit)
 
 
-def test_report_scans_each_table_once(table):
-    report = quality.quality_report(
-        table, summary.ticker_summary(table), ["S1"], dt.date(2001, 8, 1)
-    )
-    assert plan_of(report).count("FileScan parquet") == 2
+def test_report_shuffles_keys_alone(table, spark):
+    own = spark.createDataFrame([("S1",)], "ticker string")
+    plan = plan_of(quality.quality_report(table, own, ["S1"], dt.date(2001, 8, 1)))
+    schemas = re.findall(r"ReadSchema: struct<(.*?)>", plan)
+    assert sorted(schemas) == [
+        "ticker:string,date:date",
+        "ticker:string,date:date,close:double,ma_7:double,ma_30:double",
+    ]
+    assert len(re.findall(r"Exchange hashpartitioning\(ticker#\d+, date#\d+", plan)) == 1
 
 
 def test_upsert_joins_on_the_whole_key(table):

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from candlework import session
 from candlework.operators.features import add_features
 from candlework.operators.summary import ticker_summary
 from candlework.schemas import BAR_COLUMNS
@@ -73,6 +74,23 @@ def test_no_files_is_an_error(spark, tmp_path):
         readers.read_bars_csv(spark, str(tmp_path))
 
 
+class NoFolder:
+    """A session without spark.checkpoint.dir."""
+
+    def __init__(self, master):
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
+        self.sparkContext = type("Context", (), {"master": master})
+
+
+def test_scratch_folder(spark):
+    assert session.scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
+    local = session.scratch_root(NoFolder("local[2]"))
+    assert local == session.scratch_root(NoFolder("local[2]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_root(NoFolder("spark://host:7077"))
+
+
 def test_require_non_empty(spark):
     df = spark.range(1)
     assert readers.require_non_empty(df, "x") is df
@@ -103,6 +121,21 @@ def test_landing_replaces_and_names_by_run(spark):
     assert {r.ticker for r in got.collect()} == {"A.NS", "007"}
 
 
+def test_landing_splits_a_large_ticker(spark):
+    path = scratch_path(spark, "raw")
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "20k")
+    try:
+        rows = spark.range(0, 20_000, 1, 8).selectExpr(
+            "IF(id % 3 = 0, 'HOT', 'T' || id % 50) AS ticker", "DATE'2024-01-01' AS date", "id / 7 AS close"
+        )
+        writers.land_raw(rows, path, DAY)
+    finally:
+        spark.conf.unset(size)
+    assert len(spark.read.text(f"{path}/landing_key=HOT_2024-01-01.csv").inputFiles()) > 1
+    assert readers.read_bars_csv(spark, path).count() == 20_000
+
+
 def test_lake_round_trip(spark):
     root = scratch_path(spark, "lake")
     enriched = add_features(bars(spark))

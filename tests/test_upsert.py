@@ -88,6 +88,9 @@ def test_conform_casts_and_refuses_overflow(spark):
     assert list(row.asDict()) == ENRICHED.fieldNames() and row.close == Decimal("1.50")
     with pytest.raises(PySparkException):
         conform_schema(df.withColumn("close", F.lit(1e11)), ENRICHED).collect()
+    for required in ("ticker", "date", "close"):
+        with pytest.raises(PySparkException, match=f"{required} is missing"):
+            conform_schema(df.withColumn(required, F.lit(None)), ENRICHED).collect()
 
 
 def test_constraints(spark):
