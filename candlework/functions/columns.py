@@ -38,10 +38,10 @@ def landing_key(ticker: Column, run_date: dt.date) -> Column:
 
 
 def parse_date(value: Column, strict: bool = True) -> Column:
-    """Text to DATE. Bad text is an error, or NULL when not ``strict``."""
-    # The leading ten characters: a landed date may carry a midnight time part.
-    day = F.substring(value.cast("string"), 1, 10)
-    return F.to_date(day) if strict else day.try_cast("date")
+    """Text to DATE; a time of day may follow. Bad text is an error, or NULL when
+    not ``strict``."""
+    text = value.cast("string")
+    return text.cast("date") if strict else text.try_cast("date")
 
 
 def round_prices(df: DataFrame, columns: list[str] = PRICE_COLUMNS) -> DataFrame:

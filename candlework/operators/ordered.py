@@ -70,12 +70,16 @@ def over_ticker(
 
     Each step maps the ordered window to new columns and may use the columns of
     the step before; no step may look back further than ``reach`` rows in all.
-    Rows without a ticker belong to no series and are left out.
+    Rows without a ticker belong to no series and are left out; rows that tie on
+    ``order_by`` are ordered by their content.
 
     ``unique_days`` says that (ticker, date) is unique. A ticker then has at most
     one row per calendar day, which bounds its task, and no size check is run.
     """
     df = df.where(F.col("ticker").isNotNull())
+    if not unique_days:
+        rest = [c for c in df.columns if c != "ticker" and c not in order_by]
+        order_by = [*order_by, *rest]
     window = Window.partitionBy("ticker").orderBy(*order_by)
     hot = [] if unique_days else hot_tickers(df, hot_rows)
     if not hot:

@@ -44,6 +44,7 @@ def land_raw(
     (
         _by_folder(keyed, "landing_key", "date")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .option("header", True)
         .option("maxRecordsPerFile", RECORDS_PER_FILE)
         .partitionBy("landing_key")

@@ -28,8 +28,10 @@ def test_landing_key(spark):
 def test_parse_date(spark):
     assert one(spark, C.parse_date(F.lit("2024-02-29 00:00:00"))) == dt.date(2024, 2, 29)
     assert one(spark, C.parse_date(F.lit("nonsense"), strict=False)) is None
-    with pytest.raises(PySparkException):
-        one(spark, C.parse_date(F.concat(F.lit("nonsense"), F.col("id"))))
+    for bad in ("nonsense", "2024-02-30", "2024-01-01x", ""):
+        assert one(spark, C.parse_date(F.lit(bad), strict=False)) is None
+        with pytest.raises(PySparkException):
+            one(spark, C.parse_date(F.concat(F.lit(bad), F.substring(F.col("id"), 5, 1))))
 
 
 def test_cast_volume(spark):

@@ -153,6 +153,16 @@ def test_identical_copies_of_a_hot_ticker_are_all_kept(spark):
     assert sorted(map(str, cut.collect())) == sorted(map(str, uncut.collect()))
 
 
+def test_ties_do_not_depend_on_partitioning_or_size(spark):
+    """Copies of a day that no sequence column tells apart."""
+    df = spark.createDataFrame(random_rows(5, 100, 100), SCHEMA).drop("seq")
+    results = [
+        sorted(map(str, add_features(df.repartition(n), hot_rows=hot_rows).collect()))
+        for n, hot_rows in ((1, 1000), (5, 1000), (3, 40))
+    ]
+    assert results[0] == results[1] == results[2]
+
+
 def test_range_sort_spreads_copies(spark):
     df = spark.range(20_000).select(
         F.lit("A").alias("ticker"), F.lit(DAY).alias("date"), F.lit(1.0).alias("close")
