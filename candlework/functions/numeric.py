@@ -14,6 +14,8 @@ RETURN_DIGITS = 4
 
 def to_units(value: Column, digits: int) -> Column:
     """Whole units of ``10**-digits`` of a value with at most ``digits`` decimals."""
+    if digits == 0:
+        return value.cast("long")
     # Such a product is a whole number but for floating noise, which rint removes
     # without the decimal detour that Spark's round takes.
     return F.rint(value * float(10**digits)).cast("long")

@@ -63,7 +63,7 @@ def _columns_of(spark: SparkSession, file: str) -> list[str]:
 def _read_text(
     spark: SparkSession, path: str, columns: Sequence[str], check_header: bool
 ) -> DataFrame:
-    """The files by position, as ``columns``, with the path of each row's file."""
+    """The files by position, as ``columns``, with each row's file and place."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     rows = (
         _csv_options(spark.read)
@@ -72,7 +72,12 @@ def _read_text(
         .schema(schema)
         .csv(path)
     )
-    return rows.select("*", F.col("_metadata.file_path").alias("_file"))
+    # The ids rise along each file; they are taken here, before any join.
+    return rows.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.monotonically_increasing_id().alias("_place"),
+    )
 
 
 def _read_by_name(spark: SparkSession, path: str) -> DataFrame:
@@ -109,7 +114,7 @@ def _read_by_name(spark: SparkSession, path: str) -> DataFrame:
         return F.coalesce(*places).alias(name)
 
     names = list(dict.fromkeys(c for columns in headers.values() for c in columns))
-    return rows.select(*[named(n) for n in names], "_file")
+    return rows.select(*[named(n) for n in names], "_file", "_place")
 
 
 def read_bars_csv(
@@ -129,8 +134,8 @@ def read_bars_csv(
         rows = _read_by_name(spark, path)
     else:
         rows = snake_case_columns(_read_text(spark, path, columns, check_header=True))
-    row = F.monotonically_increasing_id()
-    return rows.withColumn("seq", F.struct("_file", row.alias("row"))).drop("_file")
+    seq = F.struct(F.col("_file").alias("file"), F.col("_place").alias("place"))
+    return rows.withColumn("seq", seq).drop("_file", "_place")
 
 
 def read_enriched(spark: SparkSession, path: str) -> DataFrame:
