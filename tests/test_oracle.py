@@ -1,6 +1,10 @@
 """Every registered query against DuckDB on the same tables."""
 
+import re
+
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 
@@ -14,9 +18,22 @@ def _types(relation):
     return dict(zip(relation.columns, map(str, relation.types)))
 
 
+def _check_plan(df):
+    """No cross or nested-loop join, no window over one partition, no Python."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "InPandas"):
+        assert node not in plan
+    # The partition columns come first in a window's definition, unlike an order
+    # they carry no direction.
+    for first in re.findall(r"windowspecdefinition\(([^,]*),", plan):
+        assert " ASC" not in first and " DESC" not in first
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(name, spark, sf_dir, oracle):
-    ours = QUERIES[name](spark, sf_dir).toArrow()
+    df = QUERIES[name](spark, sf_dir)
+    _check_plan(df)
+    ours = df.toArrow()
     if name in ROWS_ONLY:
         assert ours.num_rows > 0
         return
@@ -36,5 +53,13 @@ def test_every_query_has_an_oracle_or_is_listed():
     assert set(ORACLE) <= set(QUERIES)
 
 
+def test_plan_check_finds_a_window_over_one_partition(spark):
+    one = spark.range(3).withColumn("r", F.row_number().over(Window.orderBy("id")))
+    with pytest.raises(AssertionError):
+        _check_plan(one)
+    with pytest.raises(AssertionError):
+        _check_plan(spark.range(3).crossJoin(spark.range(2).withColumnRenamed("id", "x")))
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0

