@@ -42,6 +42,11 @@ def test_features_take_one_shuffle_and_one_sort(stored):
     assert exchanges(summary.ticker_summary(df)) == 1
 
 
+def test_writing_features_needs_no_further_sort(stored):
+    df = fx.enriched_of(stored).sortWithinPartitions("ticker", "date")
+    assert exchanges(df) == 1 and len(re.findall(r"\bSort \[", plan_of(df))) == 1
+
+
 def test_top_k_keeps_no_global_sort(table):
     for df in (analytics.top_gains(table), analytics.most_volatile(table), analytics.ma_regime(table)):
         assert "TakeOrderedAndProject" in plan_of(df) and exchanges(df) == 0
