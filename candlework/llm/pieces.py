@@ -33,6 +33,8 @@ BYTE_COST = 20_000_000
 #: Longer segments are solved one by one.
 ARRAY_BYTES = 48
 BLOCK = 4 << 20
+#: Segments whose N best are kept for later texts of a task: some 30 MB.
+KNOWN = 1 << 14
 FAR = np.int64(1) << 60
 _SLOT_BITS = 20
 
@@ -178,7 +180,7 @@ def _solve(v: Vocabulary, rows: np.ndarray, sizes: np.ndarray):
                 known = (found >= 0) & (size[a, :m] == k)
                 lone[a:e, :m] &= ~known
             if (found >= 0).any():
-                edge[e, k] = found
+                edge[e, k] = found.astype(np.int32)
     ahead = np.full((w + 1, u), FAR)
     ahead[0] = 0
     length = np.ones((w + 1, u), np.int8)
@@ -195,7 +197,7 @@ def _solve(v: Vocabulary, rows: np.ndarray, sizes: np.ndarray):
                 better = cost <= here
                 np.copyto(here, cost, where=better)
                 np.copyto(length[e, :m], np.int8(k), where=better)
-                np.copyto(best_id[e, :m], edge[e, k].astype(np.int32), where=better)
+                np.copyto(best_id[e, :m], edge[e, k], where=better)
         np.minimum(here, FAR, out=here)
     every = np.arange(u)
     behind = np.full((w + 1, u), FAR)
@@ -340,7 +342,7 @@ def _encode(vocabulary, n: int, column: str, keep: list[str]):
         for batch in batches:
             texts = batch.column(column)
             for a, b in blocks(texts, BLOCK):
-                if len(known) > 200_000:
+                if len(known) > KNOWN:
                     known.clear()
                 part = batch.slice(a, b - a)
                 flat, ends, costs, changes = _texts(v, part.column(column), n, known)
