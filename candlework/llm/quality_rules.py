@@ -40,17 +40,17 @@ def line_key(line: Column) -> Column:
 
 
 def _repeated_words(words: Column) -> Column:
-    """Words inside windows of three words that occur twice or more in the text."""
-    n = F.size(words)
-    windows = F.transform(
-        F.arrays_zip(
-            words.alias("a"),
-            F.slice(words, 2, F.greatest(n, F.lit(1))).alias("b"),
-            F.slice(words, 3, F.greatest(n, F.lit(1))).alias("c"),
-        ),
-        lambda x, i: F.struct(F.xxhash64(x["a"], x["b"], x["c"]).alias("h"), i.alias("i")),
+    """Words inside windows of three words that occur twice or more in the text.
+
+    ``words`` must be a column, as each window looks into it.
+    """
+    last = F.greatest(F.size(words) - 2, F.lit(0))
+    hashes = F.slice(
+        F.transform(words, lambda x, i: F.xxhash64(x, F.get(words, i + 1), F.get(words, i + 2))), 1, last
     )
-    return F.when(n < 4, F.lit(0)).otherwise(_covered(F.array_sort(F.slice(windows, 1, F.greatest(n - 2, F.lit(0))))))
+    placed = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    # Most texts repeat nothing, which is cheaper to see than where.
+    return F.when(F.size(F.array_distinct(hashes)) == last, F.lit(0)).otherwise(_covered(F.array_sort(placed)))
 
 
 def _covered(ordered: Column) -> Column:
