@@ -32,7 +32,9 @@ N_BEST = 4
 BYTE_COST = 20_000_000
 #: Longer segments are solved one by one.
 ARRAY_BYTES = 48
-BLOCK = 4 << 20
+BLOCK = 1 << 20
+#: Ids decoded at a time; a longer single text is decoded alone.
+DECODED = 1 << 18
 #: Segments whose N best are kept for later texts of a task: some 30 MB.
 KNOWN = 1 << 14
 FAR = np.int64(1) << 60
@@ -238,7 +240,7 @@ def solve(v: Vocabulary, segments: list[bytes]):
         group = np.flatnonzero((sizes > low) & (sizes <= width))
         group = group[np.argsort(-sizes[group], kind="stable")]
         low = width
-        step = max(256, (1 << 23) // (width * width))
+        step = max(256, (1 << 21) // (width * width))
         for i in range(0, len(group), step):
             some = group[i : i + step]
             joined = np.frombuffer(b"".join(segments[j].ljust(width, b"\0") for j in some.tolist()), np.uint8)
@@ -380,23 +382,30 @@ def encode(docs: DataFrame, v: Vocabulary | None = None, n: int = N_BEST, text:
     )
 
 
+def _decoded(data, start, size, lists: pa.Array) -> list[str | None]:
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    ends = np.zeros(len(flat) + 1, np.int64)
+    np.cumsum(size[flat], out=ends[1:])
+    joined = data[_ragged(start[flat], size[flat])].tobytes()
+    cuts = ends[np.append(0, np.cumsum(counts))].tolist()
+    null = lists.is_null().to_pylist()
+    return [None if no else joined[a:b].decode() for a, b, no in zip(cuts[:-1], cuts[1:], null, strict=True)]
+
+
 def _decode(table, column: str, keep: list[str]):
     def run(batches):
         data, start = table.value
         size = np.diff(start)
         for batch in batches:
             lists = batch.column(column)
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            ends = np.zeros(len(flat) + 1, np.int64)
-            np.cumsum(size[flat], out=ends[1:])
-            joined = data[_ragged(start[flat], size[flat])].tobytes()
-            cuts = ends[np.append(0, np.cumsum(counts))].tolist()
-            null = lists.is_null().to_pylist()
-            texts = [
-                None if no else joined[a:b].decode()
-                for a, b, no in zip(cuts[:-1], cuts[1:], null, strict=True)
-            ]
+            counts = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            texts, a = [], 0
+            while a < len(batch):
+                before = int(counts[a - 1]) if a else 0
+                b = max(a + 1, int(np.searchsorted(counts, before + DECODED, side="right")))
+                texts += _decoded(data, start, size, lists.slice(a, b - a))
+                a = b
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in keep] + [pa.array(texts, pa.string())], names=[*keep, "text"]
             )
