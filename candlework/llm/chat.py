@@ -56,13 +56,12 @@ def reply_paths(nodes: DataFrame) -> DataFrame:
     while open_now and open_now != open_before:
         upper = paths.select("tree_id", F.col("node_id").alias("above"), F.col("above").alias("next"),
                              F.col("path").alias("upper"))
-        paths = stored(
-            paths.join(upper, ["tree_id", "above"], "left").select(
-                "tree_id", "node_id", F.col("next").alias("above"),
-                F.concat(F.coalesce("upper", F.array().cast(paths.schema["path"].dataType)), "path").alias("path"),
-            ),
-            "paths",
+        # Whole paths are carried over; only those that still have a node above are joined.
+        longer = paths.where("above IS NOT NULL").join(upper, ["tree_id", "above"], "left").select(
+            "tree_id", "node_id", F.col("next").alias("above"),
+            F.concat(F.coalesce("upper", F.array().cast(paths.schema["path"].dataType)), "path").alias("path"),
         )
+        paths = stored(longer.unionByName(paths.where("above IS NULL")), "paths")
         open_before, open_now = open_now, paths.where("above IS NOT NULL").count()
     return (
         paths.where("above IS NULL").join(leaves, ["tree_id", "node_id"]).select("tree_id", F.col("node_id").alias("leaf_id"), "path")
