@@ -39,30 +39,40 @@ def line_key(line: Column) -> Column:
     return F.xxhash64(F.array_join(words_of(F.lower(line)), " "))
 
 
-def _repeated_words(words: Column) -> Column:
-    """Words inside windows of three words that occur twice or more in the text.
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it.
 
-    ``words`` must be a column, as each window looks into it.
+    Spark may put the expression of a column in place of its name, also within a loop
+    over an array; the variable of a lambda stays.
     """
-    last = F.greatest(F.size(words) - 2, F.lit(0))
-    hashes = F.slice(
-        F.transform(words, lambda x, i: F.xxhash64(x, F.get(words, i + 1), F.get(words, i + 2))), 1, last
-    )
-    placed = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-    # Most texts repeat nothing, which is cheaper to see than where.
-    return F.when(F.size(F.array_distinct(hashes)) == last, F.lit(0)).otherwise(_covered(F.array_sort(placed)))
+    return F.transform(F.array(value), body)[0]
+
+
+def _repeated_words(words: Column) -> Column:
+    """Words inside windows of three words that occur twice or more in the text."""
+
+    def of_words(w):
+        last = F.greatest(F.size(w) - 2, F.lit(0))
+        hashes = F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))
+        return _bound(F.slice(hashes, 1, last), of_hashes)
+
+    def of_hashes(h):
+        placed = F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))
+        # Most texts repeat nothing, which is cheaper to see than where.
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(_covered(F.array_sort(placed)))
+
+    return _bound(words, of_words)
 
 
 def _covered(ordered: Column) -> Column:
     # Equal windows are neighbours. Each place of one covers three words from there,
-    # of which those up to the end of the last are counted already. The one-element
-    # array binds the sorted windows to a name, else each look would sort them again.
+    # of which those up to the end of the last are counted already.
     def places(o):
-        twice = F.filter(o, lambda x, i: F.get(o, i - 1)["h"].eqNullSafe(x["h"]) | F.get(o, i + 1)["h"].eqNullSafe(x["h"]))
+        twice = F.filter(o, lambda x, i: (F.get(o, i - 1)["h"] == x["h"]) | (F.get(o, i + 1)["h"] == x["h"]))
         return F.array_sort(F.transform(twice, lambda x: x["i"]))
 
     return F.aggregate(
-        F.transform(F.array(ordered), places)[0],
+        _bound(ordered, places),
         F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")),
         lambda a, p: F.struct((p + 3).alias("end"), (a["n"] + p + 3 - F.greatest(a["end"], p)).alias("n")),
         lambda a: a["n"],
