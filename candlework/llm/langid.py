@@ -234,7 +234,7 @@ def _label(model, keep, switch):
         first = np.ones(len(label), bool)
         first[1:] = (label[1:] != label[:-1]) | (doc[1:] != doc[:-1])
         at = np.flatnonzero(first)
-        until = np.append(at[1:], len(label)) - 1
+        until = np.append(at, len(label))[1:] - 1
         spans = [[] for _ in range(len(column))]
         base = chars[w.offsets[:-1]]
         for d, i, a, b in zip(
