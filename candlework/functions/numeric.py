@@ -59,6 +59,25 @@ def mean(value: Column, digits: int) -> Column:
     return mean_of_units(exact_sum(units), F.count(units), digits)
 
 
-def percent(part: Column, whole: Column, digits: int) -> Column:
-    """``part / whole * 100``, rounded; NULL where ``whole`` is zero."""
-    return round_to(F.try_divide(part, whole) * 100.0, digits)
+def ratio_of_units(part: Column, whole: Column, digits: int) -> Column:
+    """Quotient of two counts of equal units, rounded; NULL for divisor zero."""
+    return from_units(divide(part * 10**digits, whole), digits)
+
+
+def percent_of_units(part: Column, whole: Column, digits: int) -> Column:
+    """``part`` in percent of ``whole``, both counts of equal units, rounded."""
+    return from_units(divide(part * 10 ** (digits + 2), whole), digits)
+
+
+def stddev(value: Column, digits: int) -> Column:
+    """Aggregate: sample deviation of values with at most ``digits`` decimals.
+
+    From exact sums, with one root at the end; NULL for fewer than two values. Good
+    for values of up to 12 digits.
+    """
+    units = to_units(value, digits)
+    exact = units.cast("decimal(12,0)")
+    n, total, squares = F.count(units), exact_sum(units), F.sum(exact * exact)
+    spread = (squares * n - total * total).cast("double")
+    pairs = F.nullif(n * (n - 1), F.lit(0).cast("long"))
+    return from_units(F.round(F.sqrt(spread / pairs.cast("double"))), digits)

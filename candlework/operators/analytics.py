@@ -22,11 +22,10 @@ from candlework.functions.numeric import (
     from_units,
     mean,
     round_to,
+    stddev,
     to_units,
 )
 
-BROADCAST_ROWS = 1_000_000
-
 
 def _top(df: DataFrame, order: list[Column], n: int | None) -> DataFrame:
     ordered = df.orderBy(*order, "ticker", "date")
@@ -136,9 +135,7 @@ def _performance(days: DataFrame) -> DataFrame:
             F.max("date").alias("period_end"),
             mean(F.col("daily_return_pct"), RETURN_DIGITS).alias("avg_daily_return"),
             from_units(F.sum(units), RETURN_DIGITS).alias("cumulative_return_pct"),
-            round_to(F.stddev_samp("daily_return_pct"), RETURN_DIGITS).alias(
-                "volatility_stddev"
-            ),
+            stddev(F.col("daily_return_pct"), RETURN_DIGITS).alias("volatility_stddev"),
         )
         .orderBy(F.desc("cumulative_return_pct"), "ticker")
     )
@@ -152,8 +149,12 @@ def recent_days(enriched: DataFrame, days: int = 30) -> DataFrame:
 
 def recent_performance(enriched: DataFrame, days: int = 30) -> DataFrame:
     """Q7: returns per ticker over the last ``days`` calendar days."""
-    recent = recent_days(enriched.select("ticker", "date", "daily_return_pct"), days)
-    return _performance(recent.where(F.col("daily_return_pct").isNotNull()))
+    return performance(recent_days(enriched.select("ticker", "date", "daily_return_pct"), days))
+
+
+def performance(days: DataFrame) -> DataFrame:
+    """Returns per ticker over the given days."""
+    return _performance(days.where(F.col("daily_return_pct").isNotNull()))
 
 
 def last_30_trading_days(enriched: DataFrame, n: int = 30) -> DataFrame:
@@ -162,32 +163,24 @@ def last_30_trading_days(enriched: DataFrame, n: int = 30) -> DataFrame:
     return _performance(rows)
 
 
-def join_summary(
-    enriched: DataFrame, summary: DataFrame, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def join_summary(enriched: DataFrame, summary: DataFrame) -> DataFrame:
     """Each bar with its ticker's average volume.
 
-    The summary is broadcast if a count shows that it is small. Otherwise both
-    sides are shuffled by ticker, and adaptive execution splits a hot ticker's
-    partition (spark.sql.adaptive.skewJoin).
+    No hint and no count: the size of the summary, of its files or as measured at
+    run time, decides whether it is broadcast. Otherwise both sides are shuffled by
+    ticker, and adaptive execution splits a hot ticker's partition
+    (spark.sql.adaptive.skewJoin).
     """
-    averages = summary.select("ticker", "avg_daily_volume")
-    tickers = summary.select("ticker").limit(broadcast_rows + 1).count()
-    if tickers <= broadcast_rows:
-        averages = F.broadcast(averages)
-    return enriched.join(averages, "ticker")
+    return enriched.join(summary.select("ticker", "avg_daily_volume"), "ticker")
 
 
 def volume_spikes(
-    enriched: DataFrame,
-    summary: DataFrame,
-    n: int | None = 15,
-    broadcast_rows: int = BROADCAST_ROWS,
+    enriched: DataFrame, summary: DataFrame, n: int | None = 15
 ) -> DataFrame:
     """Q8: days with more than twice the ticker's average volume."""
     bars = enriched.select("ticker", "date", "volume")
     spikes = (
-        join_summary(bars, summary, broadcast_rows)
+        join_summary(bars, summary)
         .where(F.col("volume") > F.col("avg_daily_volume") * 2)
         .select(
             "ticker",

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlework.functions.columns import (
     PRICE_COLUMNS,
     cast_volume,
+    missing_to_null,
     nan_to_null,
     parse_date,
     round_prices,
@@ -44,12 +45,20 @@ def clean_bars(
 ) -> DataFrame:
     """Raw bars, possibly all text, to typed bars.
 
-    ``strict`` makes bad dates and missing volumes errors; otherwise they become
-    NULL, and a row with a NULL date is dropped like any other.
+    Text such as NA or null is NULL in every column. ``strict`` makes other text that
+    is no date or number, and missing volumes, errors; otherwise they become NULL. A
+    row with a NULL date or close is dropped like any other.
     """
+    # Volume text is read as a decimal: a double is not exact above 2**53.
+    types = {"date": "string", "ticker": "string", "volume": "decimal(38,6)"}
+
+    def typed(c: str) -> Column:
+        text, kind = missing_to_null(F.col(c)), types.get(c, "double")
+        return text.cast(kind) if strict else text.try_cast(kind)
+
     text = {
-        c: F.col(c).cast("double")
-        for c in PRICE_COLUMNS + ["volume"]
+        c: typed(c)
+        for c in [*CRITICAL, *PRICE_COLUMNS, "volume"]
         if isinstance(df.schema[c].dataType, T.StringType)
     }
     df = nan_to_null(df.withColumns(text) if text else df)
@@ -64,9 +73,15 @@ def sort_bars(df: DataFrame) -> DataFrame:
     return range_sorted(df, "ticker", "date")
 
 
-def date_window(df: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
-    """Rows with ``start <= date < end``; reaches the Parquet scan as a filter."""
-    return df.where((F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(end)))
+def date_window(
+    df: DataFrame, start: dt.date | None = None, end: dt.date | None = None
+) -> DataFrame:
+    """Rows with ``start <= date < end``, where given; reaches the scan as a filter."""
+    if start is not None:
+        df = df.where(F.col("date") >= F.lit(start))
+    if end is not None:
+        df = df.where(F.col("date") < F.lit(end))
+    return df
 
 
 def dedup_keep_last(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
