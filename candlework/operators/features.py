@@ -101,12 +101,13 @@ def golden_cross_events(
     enriched: DataFrame,
     order_by: str | Sequence[str] = "date",
     *,
-    unique_days: bool = True,
+    unique_days: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Days on which ma_7 rises above ma_30, having been at or below it before.
 
-    The enriched table is unique per ticker and day; say so if ``enriched`` is not.
+    The enriched table is unique per ticker and day; say ``unique_days`` where
+    ``enriched`` is that table, and no size check is run.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
 

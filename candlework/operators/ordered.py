@@ -17,26 +17,14 @@ from candlework.session import stored
 
 # A window task of this many bars sorts and spills comfortably.
 HOT_ROWS = 5_000_000
-# A ticker outside the largest MAX_HOT holds less than 1/MAX_HOT of all rows.
-MAX_HOT = 10_000
 
 Step = Callable[[WindowSpec], dict[str, Column]]
 
 
-def hot_tickers(df: DataFrame, hot_rows: int = HOT_ROWS) -> list[str]:
-    """The tickers with more than ``hot_rows`` rows, at most the MAX_HOT largest.
-
-    Runs a job that reads the ticker column alone. The result is bounded twice:
-    by MAX_HOT, and by the row count divided by ``hot_rows``.
-    """
-    sizes = (
-        df.groupBy("ticker")
-        .count()
-        .where(F.col("count") > hot_rows)
-        .orderBy(F.desc("count"), "ticker")
-        .limit(MAX_HOT)
-    )
-    return [row["ticker"] for row in sizes.collect()]
+def hot_tickers(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``ticker`` of all tickers with more than ``hot_rows`` rows, however many."""
+    sizes = df.groupBy("ticker").count().where(F.col("count") > hot_rows)
+    return sizes.select("ticker")
 
 
 def range_sorted(df: DataFrame, *by: str) -> DataFrame:
@@ -75,18 +63,22 @@ def over_ticker(
 
     ``unique_days`` says that (ticker, date) is unique. A ticker then has at most
     one row per calendar day, which bounds its task, and no size check is run.
+    Otherwise ``df`` is read up to three times (its tickers for the check, then the
+    ordinary and the very large ones): give a stored one.
     """
     df = df.where(F.col("ticker").isNotNull())
     if not unique_days:
         rest = [c for c in df.columns if c != "ticker" and c not in order_by]
         order_by = [*order_by, *rest]
     window = Window.partitionBy("ticker").orderBy(*order_by)
-    hot = [] if unique_days else hot_tickers(df, hot_rows)
-    if not hot:
+    if unique_days:
+        return _apply(df, window, steps)
+    hot = stored(hot_tickers(df, hot_rows), "hot")
+    if hot.isEmpty():
         return _apply(df, window, steps)
-    is_hot = F.col("ticker").isin(hot)
-    cold = _apply(df.where(~is_hot), window, steps)
-    return cold.unionByName(_in_blocks(df.where(is_hot), order_by, steps, reach, hot_rows))
+    cold = _apply(df.join(hot, "ticker", "left_anti"), window, steps)
+    large = df.join(hot, "ticker", "left_semi")
+    return cold.unionByName(_in_blocks(large, order_by, steps, reach, hot_rows))
 
 
 def _apply(df: DataFrame, window: WindowSpec, steps: Sequence[Step]) -> DataFrame:
@@ -134,7 +126,7 @@ def _in_blocks(
 
     # 3. Row number within the ticker, its block, and a copy of the last ``reach``
     # rows of each block for the next one.
-    numbered = ranged.join(F.broadcast(runs), ["ticker", "_partition"]).withColumn(
+    numbered = ranged.join(runs, ["ticker", "_partition"]).withColumn(
         "_row", F.col("_position") + F.col("_shift")
     )
     block = F.expr(f"_row div {block_rows}L")

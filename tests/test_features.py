@@ -179,9 +179,13 @@ def test_range_sort_spreads_copies(spark):
 
 def test_hot_tickers_are_those_above_the_bound(spark):
     df = spark.createDataFrame([("A",)] * 5 + [("B",)] * 3 + [(None,)], "ticker string")
-    assert hot_tickers(df, 4) == ["A"]
-    assert hot_tickers(df, 2) == ["A", "B"]
-    assert hot_tickers(df, 5) == []
+    for bound, expected in ((4, {"A"}), (2, {"A", "B"}), (5, set())):
+        assert {r.ticker for r in hot_tickers(df, bound).collect()} == expected
+
+
+def test_any_number_of_hot_tickers(spark):
+    df = spark.range(36_000).selectExpr("'T' || id % 12000 AS ticker")
+    assert hot_tickers(df, 2).count() == 12_000
 
 
 def test_features_do_not_depend_on_partitioning(spark):
