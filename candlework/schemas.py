@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 PRICE = T.DecimalType(12, 2)
 RETURN = T.DecimalType(10, 4)
 
+# Metadata of a text column: its declared number of characters.
+MAX_LENGTH = "max_length"
+
 # Raw bars after typing. ``seq`` is the landing order of a row; it decides which
 # of several rows for one (ticker, date) came last.
 BAR_COLUMNS = ["ticker", "date", "open", "high", "low", "close", "volume"]
@@ -27,7 +30,7 @@ BARS = T.StructType(
 
 ENRICHED = T.StructType(
     [
-        T.StructField("ticker", T.StringType(), False),
+        T.StructField("ticker", T.StringType(), False, {MAX_LENGTH: 20}),
         T.StructField("date", T.DateType(), False),
         T.StructField("open", PRICE),
         T.StructField("high", PRICE),
@@ -43,7 +46,7 @@ ENRICHED = T.StructType(
 
 SUMMARY = T.StructType(
     [
-        T.StructField("ticker", T.StringType(), False),
+        T.StructField("ticker", T.StringType(), False, {MAX_LENGTH: 20}),
         T.StructField("from_date", T.DateType()),
         T.StructField("to_date", T.DateType()),
         T.StructField("total_trading_days", T.IntegerType()),

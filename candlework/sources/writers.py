@@ -17,7 +17,8 @@ from pyspark.sql.types import StructType
 
 from candlework.functions.columns import landing_key, nan_to_null
 from candlework.operators.clean import date_window, dedup_keep_last
-from candlework.operators.upsert import conform_schema, merge_upsert
+from candlework.operators.upsert import conform_schema, merge_unique, unique_rows
+from candlework.session import stored
 
 RECORDS_PER_FILE = 5_000_000
 SUMMARY_BUCKETS = 16
@@ -36,11 +37,10 @@ def land_raw(
 ) -> None:
     """Replace the raw files: one folder per ticker, named with the run date.
 
-    The ticker stays inside the files. ``start`` and ``end`` limit the dates.
+    The ticker stays inside the files. ``start`` and ``end``, each by itself, limit
+    the dates.
     """
-    if start is not None and end is not None:
-        df = date_window(df, start, end)
-    keyed = df.withColumn("landing_key", landing_key(F.col("ticker"), run_date))
+    keyed = date_window(df, start, end).withColumn("landing_key", landing_key(F.col("ticker"), run_date))
     (
         _by_folder(keyed, "landing_key", "date")
         .write.mode("overwrite")
@@ -88,8 +88,9 @@ def enriched_slice() -> Column:
     return F.trunc("date", "MM")
 
 
-def summary_slice() -> Column:
-    return F.pmod(F.xxhash64("ticker"), F.lit(SUMMARY_BUCKETS)).cast("int")
+def summary_slice(buckets: int = SUMMARY_BUCKETS) -> Column:
+    """A hash bucket. ``buckets`` must stay the same for all upserts of one table."""
+    return F.pmod(F.xxhash64("ticker"), F.lit(buckets)).cast("int")
 
 
 def upsert_table(
@@ -104,23 +105,27 @@ def upsert_table(
     """Upsert ``incoming`` into the Parquet table at ``path``, creating it if absent.
 
     NaN is stored as NULL. Of several rows with one key, the one with the highest
-    ``last_by`` counts; without ``last_by`` the keys must be unique.
+    ``last_by`` counts; without ``last_by`` such a key is an error.
 
     The table is partitioned by ``slice_of``, an expression over the keys with few
-    values (months, or buckets). Only the slices that ``incoming`` touches are
-    read and replaced, each at the commit of the write, so a daily run costs in
-    proportion to its own months and not to the table.
+    values (months, or buckets). The incoming rows, in their declared types, are
+    written down once; only the slices of these very rows are read and replaced. The
+    replacement of several slices is not atomic as a whole and relies on renames.
     """
     spark = incoming.sparkSession
     rows = nan_to_null(incoming)
     if last_by is not None:
         rows = dedup_keep_last(rows, list(keys), last_by)
     rows = conform_schema(rows, schema)
+    if last_by is None:
+        rows = unique_rows(rows, keys)
     if _exists(spark, path):
-        # Bounded by the calendar or the number of buckets; reads the keys alone.
-        touched = [r[0] for r in incoming.select(slice_of).distinct().collect()]
+        rows = stored(rows.withColumn("slice", slice_of), "incoming")
+        # Bounded by the calendar or the number of buckets; reads this column alone.
+        touched = [r[0] for r in rows.select("slice").distinct().collect()]
         table = spark.read.parquet(path).where(F.col("slice").isin(touched))
-        rows = merge_upsert(table.select(*schema.fieldNames()), rows, keys, update_cols)
+        columns = schema.fieldNames()
+        rows = merge_unique(table.select(columns), rows.select(columns), keys, update_cols)
     (
         _by_folder(rows.withColumn("slice", slice_of), "slice", *keys)
         .write.mode("overwrite")

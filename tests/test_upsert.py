@@ -104,7 +104,41 @@ def test_constraints(spark):
         "enriched_stocks.ticker not null": 2,
         "enriched_stocks.date not null": 1,
         "enriched_stocks.close not null": 1,
+        "enriched_stocks.ticker length": 0,
         "enriched_stocks.(ticker,date) unique": 1,
         "ticker_summary.ticker not null": 0,
+        "ticker_summary.ticker length": 0,
         "ticker_summary.(ticker) unique": 1,
     }
+
+
+def test_a_doubled_incoming_key_is_an_error(spark):
+    existing, incoming, expected = sides(spark)
+    twice, path, month = incoming.union(incoming), scratch_path(spark, "t"), F.trunc("d", "MM")
+    with pytest.raises(PySparkException, match="several rows for"):
+        merge_upsert(existing, twice, ["k", "d"]).collect()
+    for _ in range(2):  # the first load, then one into a table
+        with pytest.raises(PySparkException, match="several rows for"):
+            upsert_table(twice, path, existing.schema, ["k", "d"], ["changed"], month)
+        upsert_table(existing, path, existing.schema, ["k", "d"], ["changed"], month)
+    for _ in range(2):  # the same once more changes nothing
+        upsert_table(incoming, path, existing.schema, ["k", "d"], ["changed"], month)
+        assert rows_of(spark.read.parquet(path).drop("slice")) == expected
+
+
+def test_slices_are_those_of_the_typed_rows(spark):
+    path, bucket = scratch_path(spark, "t"), F.pmod(F.xxhash64("k"), F.lit(4)).cast("int")
+    stored = spark.range(40).selectExpr("string(id) AS k", "id AS v")
+    upsert_table(stored, path, stored.schema, ["k"], ["v"], bucket)
+    upsert_table(spark.range(3).selectExpr("id AS k", "id + 100 AS v"), path, stored.schema, ["k"], ["v"], bucket)
+    got = {r.k: r.v for r in spark.read.parquet(path).collect()}
+    assert got == {str(i): i + 100 * (i < 3) for i in range(40)}
+
+
+def test_a_ticker_has_a_length(spark):
+    row = spark.createDataFrame([("T" * 21, JAN, 1.0)], "ticker string, date date, close double")
+    full = row.select("*", *[F.lit(None).cast("double").alias(f.name) for f in ENRICHED.fields[2:] if f.name != "close"])
+    with pytest.raises(PySparkException, match="ticker is too long"):
+        conform_schema(full, ENRICHED).collect()
+    got = {r.constraint_name: r.n_violations for r in constraint_violations(full, full.select("ticker")).collect()}
+    assert got["enriched_stocks.ticker length"] == got["ticker_summary.ticker length"] == 1
