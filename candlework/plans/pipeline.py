@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from candlework.operators.clean import clean_bars
 from candlework.operators.features import add_features
@@ -20,7 +20,7 @@ from candlework.schemas import (
     SUMMARY_KEYS,
     SUMMARY_UPDATES,
 )
-from candlework.sources.readers import read_bars_csv, read_summary_csv
+from candlework.sources.readers import read_bars_csv, read_summary_csv, read_table
 from candlework.sources.writers import (
     enriched_slice,
     summary_slice,
@@ -30,13 +30,21 @@ from candlework.sources.writers import (
 )
 
 
-def transform(spark: SparkSession, raw_path: str, root: str) -> tuple[DataFrame, DataFrame]:
+def transform(
+    spark: SparkSession,
+    raw_path: str,
+    root: str,
+    columns: Sequence[str] | None = None,
+    observation: Observation | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """Raw CSV to the two results below ``<root>/processed``; returns both as read back.
 
-    The typed bars are written first: the size check and the windows then read
+    ``columns`` is the header that all files are known to have; without it the
+    headers are looked up, which reads the text twice. ``observation`` receives the
+    numbers of rows before and after cleaning. The typed bars are written first: the size check and the windows then read
     Parquet columns, and the text is parsed once.
     """
-    bars = clean_bars(read_bars_csv(spark, raw_path))
+    bars = clean_bars(read_bars_csv(spark, raw_path, columns), observation=observation)
     bars.select(*BAR_COLUMNS, "seq").write.mode("overwrite").parquet(f"{root}/typed")
     bars = spark.read.parquet(f"{root}/typed")
     enriched = add_features(bars, ["date", "seq"])
@@ -72,11 +80,9 @@ def load(enriched: DataFrame, summary: DataFrame, root: str) -> None:
 
 
 def tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    enriched = spark.read.parquet(f"{root}/tables/enriched_stocks")
-    summary = spark.read.parquet(f"{root}/tables/ticker_summary")
     return (
-        enriched.select(*ENRICHED.fieldNames()),
-        summary.select(*SUMMARY.fieldNames()),
+        read_table(spark, f"{root}/tables/enriched_stocks", ENRICHED),
+        read_table(spark, f"{root}/tables/ticker_summary", SUMMARY),
     )
 
 
@@ -87,7 +93,9 @@ def run(
     expected: Sequence[str],
     as_of: dt.date,
     start: dt.date,
+    columns: Sequence[str] | None = None,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Transform, load and check; returns the quality report."""
-    load(*transform(spark, raw_path, root), root)
+    load(*transform(spark, raw_path, root, columns, observation), root)
     return quality_report(*tables(spark, root), expected, as_of, start)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import shutil
 import tempfile
 import uuid
 
@@ -11,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 @functools.cache
 def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="candlework-")
+    root = tempfile.mkdtemp(prefix="candlework-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def scratch_root(spark: SparkSession) -> str:

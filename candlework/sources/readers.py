@@ -2,119 +2,168 @@
 
 from __future__ import annotations
 
-import csv
-from collections.abc import Sequence
-from urllib.parse import unquote
+import datetime as dt
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlework.functions.columns import snake_case_columns
+from candlework.functions.columns import snake_case
+from candlework.operators.clean import date_window
 from candlework.schemas import ENRICHED, SUMMARY
 from candlework.session import stored
 
-# More distinct headers than this means that the folder does not hold bar files.
-MAX_HEADERS = 1_000
-# A list of this many files, with paths of ordinary length, is some tens of MB.
-BROADCAST_FILES = 200_000
+# A comma outside quotes: an even number of quotes follows.
+SEPARATOR = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# The text of a line that does not have as many fields as the schema.
+ODD_LINE = "_odd_line"
 
 
-def require_non_empty(df: DataFrame, name: str, on_empty: str = "raise") -> DataFrame | None:
-    """``df`` if it has a row; otherwise an error, or None for ``on_empty='skip'``."""
-    if not df.isEmpty():
+def require_non_empty(
+    source: DataFrame | Callable[[], DataFrame], name: str, on_empty: str = "raise"
+) -> DataFrame | None:
+    """``source`` if it has a row; otherwise an error, or None for ``on_empty='skip'``.
+
+    A function that reads the source may be given instead of it: a path that does
+    not exist then counts as empty.
+    """
+    df = source if isinstance(source, DataFrame) else _read_if_there(source)
+    if df is not None and not df.isEmpty():
         return df
     if on_empty == "skip":
         return None
     raise FileNotFoundError(f"no rows in {name}")
 
 
+def _read_if_there(read: Callable[[], DataFrame]) -> DataFrame | None:
+    try:
+        return read()
+    except FileNotFoundError:
+        return None
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def _csv_options(reader):
     return reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
 
 
-def _first_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``file, header``: the hash of the first line of each file below ``path``.
+def _fields(line: Column) -> Column:
+    return F.split(line, SEPARATOR)
+
 
-    One task reads the start of a file, in order, so its lowest id is its first
-    line. The aggregate holds longs only and needs no sort of the text.
+def _headers(spark: SparkSession, path: str) -> DataFrame:
+    """``file, names``: the columns named in the first line of each file below ``path``.
+
+    One task reads the start of a file, in order, so the lowest id of a file is that
+    of its first line.
     """
-    return (
+
+    def name(field: Column) -> Column:
+        plain = F.regexp_replace(F.regexp_replace(field, '^"|"$', ""), '""', '"')
+        return F.replace(F.lower(plain), F.lit(" "), F.lit("_"))
+
+    first = (
         _csv_options(spark.read)
         .text(path)
         .where((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
         .select(
             F.col("_metadata.file_path").alias("file"),
-            F.xxhash64("value").alias("line"),
+            F.regexp_replace("value", "^\ufeff", "").alias("line"),
             F.monotonically_increasing_id().alias("id"),
         )
         .groupBy("file")
-        .agg(F.min_by("line", "id").alias("header"))
+        .agg(F.min_by("line", "id").alias("line"))
     )
+    return first.select("file", F.transform(_fields(F.col("line")), name).alias("names"))
 
 
-def _columns_of(spark: SparkSession, file: str) -> list[str]:
-    # The metadata column gives an encoded URI, the reader expects a plain path.
-    lines = spark.read.text(unquote(file)).where(F.trim("value") != "")
-    header = next(csv.reader([lines.first()["value"]]))
-    return [c.lower().replace(" ", "_") for c in header]
+def _all_fields_named(columns: Sequence[str]) -> Column:
+    """True, or an error for a line of more fields than ``columns``; fewer are allowed."""
+    line = F.col(ODD_LINE)
+    surplus = F.size(_fields(line)) > len(columns)
+    # Spark refuses to read the odd lines by themselves; the message takes a column along.
+    message = F.concat_ws(" ", F.lit("more fields than columns:"), line, f"`{columns[0]}`")
+    bad = F.raise_error(message).cast("boolean")
+    return F.when(line.isNotNull() & surplus, bad).otherwise(True)
 
 
 def _read_text(
     spark: SparkSession, path: str, columns: Sequence[str], check_header: bool
 ) -> DataFrame:
     """The files by position, as ``columns``, with each row's file and place."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, ODD_LINE]])
     rows = (
         _csv_options(spark.read)
         .option("header", True)
         .option("enforceSchema", not check_header)
+        .option("columnNameOfCorruptRecord", ODD_LINE)
+        # The fields of a line are counted only where all of them are parsed.
+        .option("columnPruning", False)
         .schema(schema)
         .csv(path)
     )
-    # The ids rise along each file; they are taken here, before any join.
+    # The ids rise along each part of a file; they are taken here, before any join.
     return rows.select(
         "*",
         F.col("_metadata.file_path").alias("_file"),
-        F.monotonically_increasing_id().alias("_place"),
+        F.struct(
+            F.col("_metadata.file_block_start").alias("part"),
+            F.monotonically_increasing_id().alias("id"),
+        ).alias("_place"),
     )
 
 
 def _read_by_name(spark: SparkSession, path: str) -> DataFrame:
     """One scan of all files by position, then each column picked by file header."""
-    first_lines = stored(_first_lines(spark, path), "first-lines")
-    kinds = (
-        first_lines.groupBy("header")
-        .agg(F.min("file").alias("example"))
-        .orderBy("example")
-        .limit(MAX_HEADERS + 1)
+    headers = stored(_headers(spark, path), "headers")
+    kinds = headers.groupBy("names").agg(F.min("file").alias("file"))
+    # Names in the order of the files; their number is that of the columns to come.
+    found = (
+        kinds.select("file", F.posexplode("names").alias("at", "name"))
+        .groupBy("name")
+        .agg(F.min(F.struct("file", "at")).alias("first"))
+        .orderBy("first")
         .collect()
     )
-    if not kinds:
+    if not found:
         raise FileNotFoundError(f"no CSV files in {path}")
-    if len(kinds) > MAX_HEADERS:
-        raise ValueError(f"more than {MAX_HEADERS} different headers in {path}")
-    headers = {k["header"]: _columns_of(spark, k["example"]) for k in kinds}
-    if len(headers) == 1:
-        return _read_text(spark, path, *headers.values(), check_header=False)
-
-    width = max(len(columns) for columns in headers.values())
-    rows = _read_text(spark, path, [f"_{i}" for i in range(width)], check_header=False)
-    files = first_lines.select(F.col("file").alias("_file"), "header")
-    if files.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES:
-        files = F.broadcast(files)
-    rows = rows.join(files, "_file")
-
-    def named(name: str):
-        places = [
-            F.when(F.col("header") == header, F.col(f"_{columns.index(name)}"))
-            for header, columns in headers.items()
-            if name in columns
-        ]
-        return F.coalesce(*places).alias(name)
-
-    names = list(dict.fromkeys(c for columns in headers.values() for c in columns))
-    return rows.select(*[named(n) for n in names], "_file", "_place")
+    names = [row["name"] for row in found]
+    shape = kinds.agg(F.count("*").alias("kinds"), F.max(F.size("names")).alias("width")).first()
+    if shape["kinds"] == 1:
+        rows = _read_text(spark, path, names, check_header=False)
+        return rows.where(_all_fields_named(names)).drop(ODD_LINE)
+
+    cells = [f"_{i}" for i in range(shape["width"])]
+    rows = _read_text(spark, path, cells, check_header=False)
+    # Where each column stands is worked out once for a file; -1 where it lacks it.
+    files = headers.select(
+        F.col("file").alias("_file"),
+        F.size("names").alias("_width"),
+        *[
+            (F.array_position("names", n) - 1).cast("int").alias(f"_at_{i}")
+            for i, n in enumerate(names)
+        ],
+    )
+    cell = F.array(*cells)
+    beyond = F.slice(cell, F.col("_width") + 1, F.lit(len(cells)))
+    short = F.concat(F.lit("more fields than columns in "), F.col("_file"))
+    named = F.when(
+        F.exists(beyond, lambda c: c.isNotNull()), F.raise_error(short).cast("boolean")
+    ).otherwise(True)
+    return (
+        rows.join(files, "_file")
+        .where(_all_fields_named(cells) & named)
+        .select(
+            *[F.get(cell, F.col(f"_at_{i}")).alias(n) for i, n in enumerate(names)],
+            "_file",
+            "_place",
+        )
+    )
 
 
 def read_bars_csv(
@@ -122,22 +171,56 @@ def read_bars_csv(
 ) -> DataFrame:
     """Every ``*.csv`` below ``path`` as text columns, matched by column name.
 
-    Spark matches the columns of several CSV files by position, so the headers are
-    looked up first, at the cost of a scan of the text; a column a file lacks is
-    NULL there. Give ``columns`` where every file is known to have that header:
-    nothing is looked up, and a file that differs is an error.
+    Give ``columns`` where every file is known to have that header, which is the
+    ordinary case: the text is read once, and a file that differs is an error.
+    Without it the headers are looked up first, at the cost of a further scan of the
+    text, since Spark matches the columns of several CSV files by position; a column
+    a file lacks is NULL there.
 
+    A line of more fields than its header is an error; fields it lacks are NULL.
     ``seq`` orders the rows by file path and place in the file, to tell which of
     two bars came last; raw files are named by ticker and run date.
     """
     if columns is None:
         rows = _read_by_name(spark, path)
     else:
-        rows = snake_case_columns(_read_text(spark, path, columns, check_header=True))
+        rows = _read_text(spark, path, columns, check_header=True)
+        rows = rows.where(_all_fields_named(columns)).drop(ODD_LINE)
+        rows = rows.withColumnsRenamed({c: snake_case(c) for c in columns})
     seq = F.struct(F.col("_file").alias("file"), F.col("_place").alias("place"))
     return rows.withColumn("seq", seq).drop("_file", "_place")
 
 
+def read_table(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    start: dt.date | None = None,
+    end: dt.date | None = None,
+) -> DataFrame:
+    """The stored table in its declared columns; of a table by months, the rows with
+    ``start <= date < end``. Other months are not opened."""
+    table = spark.read.parquet(path)
+    if start is not None:
+        table = table.where(F.col("slice") >= F.trunc(F.lit(start), "MM"))
+    if end is not None:
+        table = table.where(F.col("slice") < F.lit(end))
+    return date_window(table, start, end).select(*schema.fieldNames())
+
+
+def read_recent(spark: SparkSession, path: str, days: int = 30) -> DataFrame:
+    """The rows of the stored enriched table from ``days`` calendar days before its
+    latest date on. Only the latest month is read to find that date, and only the
+    months that can hold such rows to return them."""
+    table = spark.read.parquet(path)
+    latest = table.select(F.max("slice")).scalar()
+    cutoff = table.where(F.col("slice") == latest).select(
+        F.date_sub(F.max("date"), days).alias("cutoff")
+    )
+    months = table.where(F.col("slice") >= cutoff.select(F.trunc("cutoff", "MM")).scalar())
+    return months.where(F.col("date") >= cutoff.scalar()).select(*ENRICHED.fieldNames())
+
+
 def read_enriched(spark: SparkSession, path: str) -> DataFrame:
     """The enriched table, in its declared columns; partition columns are dropped."""
     return spark.read.parquet(path).select(*ENRICHED.fieldNames())

@@ -44,9 +44,8 @@ def test_csv_by_name(spark, folder):
     }
 
 
-def test_csv_without_broadcast_of_the_file_list(spark, folder, monkeypatch):
+def test_csv_without_broadcast_of_the_file_list(spark, folder):
     broadcast = readers.read_bars_csv(spark, folder).orderBy("seq").collect()
-    monkeypatch.setattr(readers, "BROADCAST_FILES", 0)
     limit = "spark.sql.autoBroadcastJoinThreshold"
     spark.conf.set(limit, -1)
     try:
@@ -57,6 +56,39 @@ def test_csv_without_broadcast_of_the_file_list(spark, folder, monkeypatch):
         spark.conf.unset(limit)
 
 
+def test_any_number_of_headers(spark, tmp_path):
+    # The last column's case, quotes and place differ from file to file.
+    for i in range(1_100):
+        names = ["date", "close"]
+        names.insert(i % 3, "".join(c.upper() if i >> j & 1 else c for j, c in enumerate("ticker name")))
+        values = {"date": "2024-01-01", "close": str(i)}
+        (tmp_path / f"{i}.csv").write_text(
+            ",".join(f'"{n}"' for n in names) + "\n" + ",".join(values.get(n, "A") for n in names) + "\n"
+        )
+    got = readers.read_bars_csv(spark, str(tmp_path))
+    assert set(got.columns) == {"date", "close", "ticker_name", "seq"}
+    assert sorted(int(r.close) for r in got.collect()) == list(range(1_100))
+
+
+@pytest.mark.parametrize("mixed", [False, True])
+@pytest.mark.parametrize("columns", [None, ["date", "close", "ticker"]])
+def test_a_line_of_too_many_fields_is_an_error(spark, tmp_path, mixed, columns):
+    (tmp_path / "a.csv").write_text("date,close,ticker\n2024-01-01,1\n2024-01-01,2,\"A,B\"\n")
+    if mixed and columns is None:
+        (tmp_path / "b.csv").write_text("ticker,date,close,note\nB,2024-01-01,3,x\n")
+    got = readers.read_bars_csv(spark, str(tmp_path), columns)
+    assert {("1", None), ("2", "A,B")} <= {(r.close, r.ticker) for r in got.collect()}
+    (tmp_path / "c.csv").write_text("date,close,ticker\n2024-01-01,1,A,EXTRA\n")
+    with pytest.raises(Exception, match="more fields than columns"):
+        readers.read_bars_csv(spark, str(tmp_path), columns).select("close").collect()
+
+
+def test_known_columns_are_read_in_one_scan(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("ticker,close\nA,1\n")
+    got = readers.read_bars_csv(spark, str(tmp_path), ["ticker", "close"])
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
 def test_sequence_follows_file_names_and_lines(spark, tmp_path):
     for run, closes in (("2024-02-01", "12"), ("2024-02-02", "34")):
         lines = "".join(f"A,2024-01-01,{c}\n" for c in closes)
@@ -104,6 +136,17 @@ def test_require_non_empty(spark):
         readers.require_non_empty(df.where("false"), "x")
 
 
+def test_a_missing_source_counts_as_empty(spark, tmp_path):
+    for read in (
+        lambda: spark.read.parquet(f"{tmp_path}/none"),
+        lambda: readers.read_bars_csv(spark, f"{tmp_path}/none"),
+        lambda: readers.read_bars_csv(spark, str(tmp_path)),
+    ):
+        assert readers.require_non_empty(read, "x", "skip") is None
+        with pytest.raises(FileNotFoundError, match="no rows in x"):
+            readers.require_non_empty(read, "x")
+
+
 def bars(spark):
     rows = [
         (t, DAY + dt.timedelta(days=i), 1.0, 2.0, 1.0, float(i + 1), 10 * i)
@@ -126,6 +169,13 @@ def test_landing_replaces_and_names_by_run(spark):
     assert {r.ticker for r in got.collect()} == {"A.NS", "007"}
 
 
+def test_landing_heeds_each_bound_by_itself(spark):
+    for bounds, n in (({"start": DAY + dt.timedelta(days=7)}, 6), ({"end": DAY + dt.timedelta(days=2)}, 4)):
+        path = scratch_path(spark, "raw")
+        writers.land_raw(bars(spark), path, DAY, **bounds)
+        assert readers.read_bars_csv(spark, path).count() == n
+
+
 def test_landing_splits_a_large_ticker(spark):
     path = scratch_path(spark, "raw")
     size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
