@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from candlework.functions import columns as C
@@ -29,7 +29,7 @@ from candlework.schemas import (
     SUMMARY_KEYS,
     SUMMARY_UPDATES,
 )
-from candlework.session import scratch_path
+from candlework.session import scratch_path, stored
 from candlework.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,11 @@ def _enriched_five(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.enriched_of(fx.bars_orders(spark, sf_dir))
 
 
+def _upsert_enriched(rows: DataFrame, path: str) -> None:
+    slices = writers.enriched_slice()
+    writers.upsert_table(rows, path, ENRICHED, ENRICHED_KEYS, ENRICHED_UPDATES, slices)
+
+
 def _typed_text(df: DataFrame) -> DataFrame:
     """Rows read as text, in the types of bars."""
     types = {"date": "date", "volume": "bigint"}
@@ -116,14 +121,21 @@ def lake_manifest(spark, sf_dir):
     enriched = _enriched_five(spark, sf_dir)
     bars = enriched.select(*BAR_COLUMNS)
     writers.publish_lake(bars, enriched, summary.ticker_summary(enriched), root, RUN_DATE)
-    return readers.lake_manifest(spark, root)
+    found = readers.lake_manifest(spark, root)
+    # How many files an object has is up to the run.
+    place = F.regexp_extract("path", "/(raw|processed)/(?:landing_key=)?([^/]+)/[^/]+$", 1)
+    name = F.regexp_extract("path", "/(raw|processed)/(?:landing_key=)?([^/]+)/[^/]+$", 2)
+    return found.groupBy(place.alias("prefix"), name.alias("object")).agg(
+        (F.min("size_kb") > 0).alias("has_size")
+    )
 
 
 @_query
 def require_non_empty(spark, sf_dir):
-    bars = fx.bars_orders(spark, sf_dir)
-    assert readers.require_non_empty(bars.where("false"), "none", "skip") is None
-    return readers.require_non_empty(bars, "bars")
+    absent = scratch_path(spark, "absent")
+    skipped = readers.require_non_empty(lambda: spark.read.parquet(absent), "none", "skip")
+    assert skipped is None
+    return readers.require_non_empty(lambda: fx.bars_orders(spark, sf_dir), "bars")
 
 
 @_query
@@ -140,7 +152,7 @@ def date_window_scan(spark, sf_dir):
 def land_raw_csv(spark, sf_dir):
     path = scratch_path(spark, "raw")
     bars = fx.bars_lineitem(spark, sf_dir).select(*BAR_COLUMNS)
-    writers.land_raw(bars, path, RUN_DATE, *WINDOW)
+    writers.land_raw(bars, path, RUN_DATE)
     return _typed_text(readers.read_bars_csv(spark, path, BAR_COLUMNS))
 
 
@@ -167,17 +179,9 @@ def upsert_enriched(spark, sf_dir):
 @_query
 def upsert_enriched_table(spark, sf_dir):
     """The same upsert into a stored table, month by month."""
-    existing, incoming = fx.upsert_pair(_enriched(spark, sf_dir))
     path = scratch_path(spark, "table")
-    for rows in (existing, incoming):
-        writers.upsert_table(
-            rows,
-            path,
-            ENRICHED,
-            ENRICHED_KEYS,
-            ENRICHED_UPDATES,
-            writers.enriched_slice(),
-        )
+    for rows in fx.upsert_pair(_enriched(spark, sf_dir)):
+        _upsert_enriched(rows, path)
     return readers.read_enriched(spark, path)
 
 
@@ -222,18 +226,22 @@ def conform_summary(spark, sf_dir):
 
 @_query
 def constraint_violations(spark, sf_dir):
-    bars = fx.bars_dirty(spark, sf_dir)
-    return upsert.constraint_violations(bars, bars.select("ticker").distinct())
+    """Bars with second bars for some days, long and missing tickers; tickers of the
+    summary doubled and missing."""
+    bars, own = fx.constraint_pair(spark, sf_dir)
+    return upsert.constraint_violations(bars, own)
 
 
 # Pipeline
 
 
-def _run_pipeline(spark: SparkSession, sf_dir: str, times: int) -> tuple[str, DataFrame]:
+def _run_pipeline(
+    spark: SparkSession, sf_dir: str, times: int, columns: list[str] | None = BAR_COLUMNS
+) -> tuple[str, DataFrame]:
     raw, root = scratch_path(spark, "raw"), scratch_path(spark, "run")
-    writers.land_raw(fx.bars_orders(spark, sf_dir), raw, RUN_DATE)
+    writers.land_raw(fx.bars_orders(spark, sf_dir).select(*BAR_COLUMNS), raw, RUN_DATE)
     for _ in range(times):
-        report = pipeline.run(spark, raw, root, fx.TICKERS, RUN_DATE, START)
+        report = pipeline.run(spark, raw, root, fx.TICKERS, RUN_DATE, START, columns)
     return root, report
 
 
@@ -246,10 +254,26 @@ def pipeline_report(spark, sf_dir):
 @_query
 def pipeline_tables(spark, sf_dir):
     """The enriched table after a run and a rerun."""
-    root, _ = _run_pipeline(spark, sf_dir, 2)
+    root, _ = _run_pipeline(spark, sf_dir, 2, columns=None)
     return pipeline.tables(spark, root)[0]
 
 
+@_query
+def pipeline_summary(spark, sf_dir):
+    """The stored summary table after a run and a rerun."""
+    root, _ = _run_pipeline(spark, sf_dir, 2)
+    return pipeline.tables(spark, root)[1]
+
+
+@_query
+def rows_cleaned(spark, sf_dir):
+    """Rows before and after cleaning, as observed while the bars are written."""
+    counts = Observation("cleaning")
+    bars = clean.clean_bars(fx.bars_dirty(spark, sf_dir), observation=counts)
+    bars.write.parquet(scratch_path(spark, "typed"))
+    return spark.createDataFrame([counts.get], "rows_before bigint, rows_after bigint")
+
+
 # Columns
 
 
@@ -429,7 +453,7 @@ def enriched_dedup_first(spark, sf_dir):
 @_query
 def enriched_hot_tickers(spark, sf_dir):
     """Each of the five tickers, a fifth of all rows, cut into blocks."""
-    bars = clean.clean_bars(fx.bars_dirty(spark, sf_dir))
+    bars = stored(clean.clean_bars(fx.bars_dirty(spark, sf_dir)), "bars")
     return features.add_features(bars, ["date", "seq"], hot_rows=200)
 
 
@@ -445,7 +469,7 @@ def top_losses_per_ticker(spark, sf_dir):
 
 @_query
 def golden_cross_events(spark, sf_dir):
-    return features.golden_cross_events(_enriched(spark, sf_dir))
+    return features.golden_cross_events(_enriched(spark, sf_dir), unique_days=True)
 
 
 @_query
@@ -496,6 +520,22 @@ def recent_performance(spark, sf_dir):
     return analytics.recent_performance(_enriched(spark, sf_dir))
 
 
+@_query
+def recent_performance_table(spark, sf_dir):
+    """The same over the stored table, of which two or three months are opened."""
+    path = scratch_path(spark, "table")
+    _upsert_enriched(_enriched(spark, sf_dir), path)
+    return analytics.performance(readers.read_recent(spark, path))
+
+
+@_query
+def date_window_table(spark, sf_dir):
+    """A date window of the stored table, of which only its months are opened."""
+    path = scratch_path(spark, "table")
+    _upsert_enriched(_enriched(spark, sf_dir), path)
+    return readers.read_table(spark, path, ENRICHED, *WINDOW)
+
+
 @_query
 def join_summary(spark, sf_dir):
     """Every bar with its ticker's average volume."""

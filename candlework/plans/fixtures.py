@@ -89,6 +89,21 @@ def bars_bad_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars.withColumn("close", F.when(bad, 0.0).otherwise(F.col("close")))
 
 
+def constraint_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Bars and summary tickers that break every declared rule but that for dates."""
+    bars = bars_dirty(spark, sf_dir)
+    day = F.dayofyear("date")
+    ticker = F.when(day % 103 == 0, F.repeat("ticker", 10)).when(day % 107 != 0, F.col("ticker"))
+    tickers = bars.select("ticker").distinct()
+    copies = F.when(F.col("ticker").startswith("1"), F.array("ticker", "ticker")).when(
+        F.col("ticker").startswith("2"), F.array(F.lit(None).cast("string"))
+    )
+    long = F.array(F.repeat("ticker", 10))
+    return bars.withColumn("ticker", ticker), tickers.select(
+        F.explode(F.coalesce(copies, long)).alias("ticker")
+    )
+
+
 def enriched_of(bars: DataFrame) -> DataFrame:
     """Features of derived bars, which are unique per ticker and day."""
     return add_features(bars, unique_days=True)

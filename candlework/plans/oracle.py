@@ -1,4 +1,7 @@
-"""DuckDB SQL for the registered queries, over the same tables."""
+"""DuckDB SQL for the registered queries, over the same tables.
+
+Result columns, signal names and the texts of the checks are fixed values.
+"""
 
 from __future__ import annotations
 
@@ -92,6 +95,19 @@ def _mean(column: str, scale: int) -> str:
     return f"round(CAST(sum({units}) AS DOUBLE) / count({column})) / {scale}"
 
 
+def _quotient(part: str, whole: str, scale: int) -> str:
+    """Whole numbers divided in whole numbers, half away from zero."""
+    part, whole = f"CAST({part} AS HUGEINT)", f"CAST({whole} AS HUGEINT)"
+    return (
+        f"CAST(CASE WHEN {whole} <> 0 THEN sign({part}) * sign({whole})"
+        f" * ((2 * abs({part}) + abs({whole})) // (2 * abs({whole}))) END AS DOUBLE) / {scale}"
+    )
+
+
+def _cents(column: str) -> str:
+    return f"CAST(round({column} * 100) AS BIGINT)"
+
+
 def _summary_of(source: str) -> str:
     return f"""
   SELECT ticker, min(date) AS from_date, max(date) AS to_date,
@@ -114,8 +130,10 @@ _PERFORMANCE = f"""
          {_mean("daily_return_pct", 10000)} AS avg_daily_return,
          CAST(sum(CAST(round(daily_return_pct * 10000) AS BIGINT)) AS DOUBLE) / 10000
            AS cumulative_return_pct,
-         round(stddev_samp(daily_return_pct) * 10000) / 10000 AS volatility_stddev
-  FROM recent GROUP BY ticker ORDER BY cumulative_return_pct DESC, ticker"""
+         round(sqrt(CAST(count(u) * sum(u * u) - sum(u) * sum(u) AS DOUBLE)
+                    / nullif(count(u) * (count(u) - 1), 0))) / 10000 AS volatility_stddev
+  FROM (SELECT *, CAST(round(daily_return_pct * 10000) AS HUGEINT) AS u FROM recent)
+  GROUP BY ticker ORDER BY cumulative_return_pct DESC, ticker"""
 
 
 def _per_ticker(direction: str) -> str:
@@ -225,6 +243,7 @@ _REPORT = _report(
     _MA_CHECK,
 )
 
+_RATIO = _quotient("e.volume * 10000", _cents("t.avg_daily_volume"), 100)
 _VOLUME_JOIN = "FROM bars e JOIN summary t ON e.ticker = t.ticker"
 _SIGNAL = """
 SELECT ticker, date, close, ma_7, ma_30,
@@ -265,7 +284,13 @@ WHERE ma_7 IS NOT NULL""",
     "require_non_empty": f"WITH {_ORDERS} SELECT * FROM bars",
     "date_window_scan": f"WITH {_LINEITEM} SELECT * FROM bars WHERE {_WINDOW}",
     # Sinks
-    "land_raw_csv": f"WITH {_LINEITEM} SELECT * FROM bars WHERE {_WINDOW}",
+    "lake_manifest": """
+SELECT DISTINCT 'raw' AS prefix, o_orderpriority || '_2001-08-01.csv' AS object, true AS has_size
+FROM orders
+UNION ALL
+SELECT 'processed', x.object, true
+FROM (VALUES ('enriched_stocks.parquet'), ('ticker_summary.csv')) x(object)""",
+    "land_raw_csv": f"WITH {_LINEITEM} SELECT * FROM bars",
     "write_enriched": f"WITH {_E5} SELECT * FROM enriched",
     "write_summary": f"""WITH {_S5}
 SELECT * REPLACE (CAST(total_trading_days AS INTEGER) AS total_trading_days) FROM summary""",
@@ -285,20 +310,38 @@ UNION ALL SELECT 'enriched', count(*) FROM enriched
 UNION ALL SELECT 'summary', count(*) FROM summary""",
     "conform_schema": f"WITH {_E} {_CONFORM}",
     "conform_summary": f"WITH {_S} {_CONFORM_SUMMARY}",
-    "constraint_violations": f"""WITH {_DIRTY}
+    "constraint_violations": f"""WITH {_DIRTY},
+broken AS (
+  SELECT * REPLACE (CASE WHEN dayofyear(date) % 103 = 0 THEN repeat(ticker, 10)
+                         WHEN dayofyear(date) % 107 <> 0 THEN ticker END AS ticker)
+  FROM dirty
+),
+tickers AS (
+  SELECT CASE WHEN ticker LIKE '2%' THEN NULL WHEN ticker LIKE '1%' THEN ticker
+              ELSE repeat(ticker, 10) END AS ticker
+  FROM (SELECT DISTINCT ticker FROM dirty) JOIN (VALUES (1), (2)) c(copy)
+    ON c.copy = 1 OR ticker LIKE '1%'
+)
 SELECT 'enriched_stocks.ticker not null' AS constraint_name,
-       count(*) FILTER (ticker IS NULL) AS n_violations FROM dirty
-UNION ALL SELECT 'enriched_stocks.date not null', count(*) FILTER (date IS NULL) FROM dirty
-UNION ALL SELECT 'enriched_stocks.close not null', count(*) FILTER (close IS NULL) FROM dirty
+       count(*) FILTER (ticker IS NULL) AS n_violations FROM broken
+UNION ALL SELECT 'enriched_stocks.date not null', count(*) FILTER (date IS NULL) FROM broken
+UNION ALL SELECT 'enriched_stocks.close not null', count(*) FILTER (close IS NULL) FROM broken
+UNION ALL SELECT 'enriched_stocks.ticker length', count(*) FILTER (length(ticker) > 20) FROM broken
 UNION ALL SELECT 'enriched_stocks.(ticker,date) unique', count(*)
-  FROM (SELECT ticker, date FROM dirty GROUP BY ALL HAVING count(*) > 1)
-UNION ALL SELECT 'ticker_summary.ticker not null', count(*) FILTER (ticker IS NULL)
-  FROM (SELECT DISTINCT ticker FROM dirty)
+  FROM (SELECT ticker, date FROM broken WHERE ticker IS NOT NULL AND date IS NOT NULL
+        GROUP BY ALL HAVING count(*) > 1)
+UNION ALL SELECT 'ticker_summary.ticker not null', count(*) FILTER (ticker IS NULL) FROM tickers
+UNION ALL SELECT 'ticker_summary.ticker length', count(*) FILTER (length(ticker) > 20) FROM tickers
 UNION ALL SELECT 'ticker_summary.(ticker) unique', count(*)
-  FROM (SELECT ticker FROM (SELECT DISTINCT ticker FROM dirty) GROUP BY 1 HAVING count(*) > 1)""",
+  FROM (SELECT ticker FROM tickers WHERE ticker IS NOT NULL GROUP BY 1 HAVING count(*) > 1)""",
     # Pipeline
     "pipeline_report": f"WITH {_S5} {_REPORT}",
     "pipeline_tables": f"WITH {_E5} {_CONFORM}",
+    "pipeline_summary": f"WITH {_S5} {_CONFORM_SUMMARY}",
+    "rows_cleaned": f"""WITH {_DIRTY}
+SELECT count(*) AS rows_before,
+       count(*) FILTER (date IS NOT NULL AND close IS NOT NULL AND ticker IS NOT NULL) AS rows_after
+FROM dirty""",
     # Columns
     "snake_case_columns": f"""WITH {_ORDERS}
 SELECT ticker AS day_ticker, date AS day_date, open AS day_open, high AS day_high,
@@ -324,16 +367,18 @@ SELECT ticker, date, round((high - low) * 100) / 100 AS daily_range FROM bars"""
     "nan_to_null": f"""WITH {_DIRTY}
 SELECT * REPLACE (CASE WHEN NOT isnan(high) THEN high END AS high) FROM dirty""",
     "price_range_pct": f"""WITH {_LINEITEM}
-SELECT ticker, date, round((high - low) / nullif(low, 0) * 100 * 100) / 100 AS price_range_pct
+SELECT ticker, date,
+       {_quotient(f"({_cents('high')} - {_cents('low')}) * 10000", _cents("low"), 100)}
+         AS price_range_pct
 FROM bars""",
     "ma_signal": f"WITH {_E} {_SIGNAL}",
     "volatility_pct": f"""WITH {_BAD}
-SELECT ticker, date, round(round((high - low) * 100) / 100 / nullif(close, 0) * 100 * 100) / 100
+SELECT ticker, date,
+       {_quotient(f"({_cents('high')} - {_cents('low')}) * 10000", _cents("close"), 100)}
          AS volatility_pct
 FROM bad""",
     "volume_ratio": f"""WITH {_S}
-SELECT e.ticker, e.date,
-       round(CAST(e.volume AS DOUBLE) / nullif(t.avg_daily_volume, 0) * 100) / 100 AS volume_ratio
+SELECT e.ticker, e.date, {_RATIO} AS volume_ratio
 {_VOLUME_JOIN}""",
     "month_bucket": f"""WITH {_LINEITEM}
 SELECT ticker, date, CAST(date_trunc('month', date) AS DATE) AS month FROM bars""",
@@ -383,8 +428,8 @@ recent AS (SELECT * FROM enriched WHERE daily_return_pct IS NOT NULL
     "ticker_summary": f"WITH {_S} SELECT * FROM summary",
     "summary_overview": f"""WITH {_S}
 SELECT ticker, from_date, to_date, total_trading_days, avg_close, all_time_high, all_time_low,
-       round((all_time_high - all_time_low) / nullif(all_time_low, 0) * 100 * 100) / 100
-         AS price_range_pct,
+       {_quotient(f"({_cents('all_time_high')} - {_cents('all_time_low')}) * 10000",
+                  _cents("all_time_low"), 100)} AS price_range_pct,
        avg_daily_return_pct
 FROM summary ORDER BY avg_daily_return_pct DESC NULLS FIRST, ticker""",
     "top_gains": _extreme("DESC"),
@@ -399,7 +444,7 @@ FROM enriched GROUP BY 1, 2 ORDER BY 1, 2""",
     "ma_regime": f"WITH {_E} {_SIGNAL} ORDER BY ticker, date DESC LIMIT 20",
     "most_volatile": f"""WITH {_E}
 SELECT ticker, date, daily_range,
-       round(daily_range / nullif(close, 0) * 100 * 100) / 100 AS volatility_pct
+       {_quotient(f"{_cents('daily_range')} * 10000", _cents("close"), 100)} AS volatility_pct
 FROM enriched WHERE daily_range IS NOT NULL
 ORDER BY volatility_pct DESC, ticker, date LIMIT 10""",
     "recent_performance": f"""WITH {_E},
@@ -407,12 +452,18 @@ recent AS (SELECT * FROM enriched
            WHERE date >= (SELECT max(date) - INTERVAL 30 DAY FROM enriched)
              AND daily_return_pct IS NOT NULL)
 {_PERFORMANCE}""",
+    "recent_performance_table": f"""WITH {_E},
+recent AS (SELECT * FROM enriched
+           WHERE date >= (SELECT max(date) - INTERVAL 30 DAY FROM enriched)
+             AND daily_return_pct IS NOT NULL)
+{_PERFORMANCE}""",
+    "date_window_table": f"WITH {_E} {_CONFORM} WHERE {_WINDOW}",
     "join_summary": f"""WITH {_S}
 SELECT e.ticker, e.date, e.volume, t.avg_daily_volume {_VOLUME_JOIN}
 WHERE e.volume > t.avg_daily_volume * 2""",
     "volume_spikes": f"""WITH {_S}
 SELECT e.ticker, e.date, e.volume, round(t.avg_daily_volume) AS avg_volume,
-       round(CAST(e.volume AS DOUBLE) / nullif(t.avg_daily_volume, 0) * 100) / 100 AS volume_ratio
+       {_RATIO} AS volume_ratio
 {_VOLUME_JOIN}
 WHERE e.volume > t.avg_daily_volume * 2
 ORDER BY volume_ratio DESC, e.ticker, e.date LIMIT 15""",

@@ -7,7 +7,10 @@ import pytest
 
 from candlework.operators import analytics, clean, features, quality, summary, upsert
 from candlework.plans import fixtures as fx
+from candlework import session
+from candlework.schemas import ENRICHED
 from candlework.session import scratch_path
+from candlework.sources import readers, writers
 from candlework.sources.writers import write_enriched
 
 
@@ -70,15 +73,15 @@ def test_filters_and_columns_reach_the_scan(table):
     assert "ReadSchema: struct<ma_7:double,ma_30:double>" in counted
 
 
-def test_volume_spikes_broadcast_only_a_counted_summary(table):
-    own = summary.ticker_summary(table)
+def test_volume_spikes_broadcast_only_a_small_summary(table):
+    own = session.stored(summary.ticker_summary(table), "summary")
     small = analytics.volume_spikes(table, own)
     assert "BroadcastHashJoin" in plan_of(small)
     spark = table.sparkSession
     limit = "spark.sql.autoBroadcastJoinThreshold"
     spark.conf.set(limit, -1)  # as if the summary were too large for Spark as well
     try:
-        large = analytics.volume_spikes(table, own, broadcast_rows=10)
+        large = analytics.volume_spikes(table, own)
         assert "SortMergeJoin" in plan_of(large)
         assert large.collect() == small.collect()
     finally:
@@ -103,4 +106,28 @@ def test_upsert_joins_on_the_whole_key(table):
 
 
 def test_golden_cross_takes_one_shuffle(table):
-    assert exchanges(features.golden_cross_events(table)) == 1
+    assert exchanges(features.golden_cross_events(table, unique_days=True)) == 1
+
+
+def test_volume_spikes_are_planned_without_a_job(spark, stored):
+    enriched = fx.enriched_of(stored)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    try:
+        analytics.volume_spikes(enriched, summary.ticker_summary(enriched))
+        assert tracker.getJobIdsForGroup("planning") == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_stored_table_opens_only_the_months_in_question(table):
+    spark, path = table.sparkSession, scratch_path(table.sparkSession, "table")
+    keys, updates = ["ticker", "date"], ["close"]
+    writers.upsert_table(table, path, ENRICHED, keys, updates, writers.enriched_slice())
+    plan = plan_of(readers.read_table(spark, path, ENRICHED, dt.date(1997, 5, 9), dt.date(1997, 7, 1)))
+    assert re.search(r"PartitionFilters: \[[^]]*slice#\d+ >= 1997-05-01[^]]*slice#\d+ < 1997-07-01", plan)
+    recent = readers.read_recent(spark, path)
+    assert re.search(r"PartitionFilters: \[.*slice#\d+ >= .*[Ss]ubquery", plan_of(recent)), plan_of(recent)[:3000]
+    assert sorted(recent.select(*keys).collect()) == sorted(
+        analytics.recent_days(table).select(*keys).collect()
+    )
