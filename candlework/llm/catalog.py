@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from candlework.llm import chat, classifier, decontaminate, html_text, jaccard, langid, pieces, pii, quality_rules, sharding
+from candlework.llm import (
+    chat, classifier, decontaminate, exact_dedup, html_text, jaccard, langid, merkle, pieces, pii,
+    quality_rules, sharding,
+)
+from candlework.session import scratch_path, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -100,3 +104,21 @@ def op10_sentencepiece(spark, sf_dir):
         "doc_id", "n_pieces", "ids_sha256", "costs", F.sha2("text", 256).alias("decoded_sha256"),
         (F.sha2("text", 256) == F.col("text_sha256")).alias("exact"),
     )
+
+
+@_query
+def op12_merkle_manifest(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return merkle.manifest(docs, F.when(chosen, merkle.leaf_digest(merkle.lower_cased(F.col("text")))))
+
+
+@_query
+def op13_exact_dedup(spark, sf_dir):
+    """All documents, delivered in two halves; the second meets the index of the first."""
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("string")
+    rows = stored(exact_dedup.digested(_table(spark, sf_dir, "documents")).withColumn("delivery", half), "digests")
+    index = exact_dedup.DigestIndex(spark, scratch_path(spark, "digest-index"), rows.schema["doc_id"].dataType.simpleString())
+    for delivery in ("0", "1"):
+        index.add(rows.where(F.col("delivery") == delivery), delivery)
+    return exact_dedup.judged(rows, index)
