@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlework.llm import (
-    chat, classifier, decontaminate, exact_dedup, html_text, jaccard, langid, merkle, pieces, pii,
+    chat, classifier, decontaminate, exact_dedup, html_text, jaccard, langid, lexical, merkle, pieces, pii,
     quality_rules, sharding,
 )
 from candlework.session import scratch_path, stored
@@ -122,3 +122,8 @@ def op13_exact_dedup(spark, sf_dir):
     for delivery in ("0", "1"):
         index.add(rows.where(F.col("delivery") == delivery), delivery)
     return exact_dedup.judged(rows, index)
+@_query
+def op11_lexical_search(spark, sf_dir):
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+

@@ -92,7 +92,9 @@ class DigestIndex:
         known = self.entries().where(F.col("delivery") != delivery).select("digest").hint("merge")
         fresh = groups.join(known, "digest", "left_anti").withColumn("fresh", F.lit(True))
         again = groups.join(known, "digest", "left_semi").withColumn("fresh", F.lit(False))
-        added = fresh.unionByName(again).repartition(self.buckets, "digest")
+        # By the bucket's own number: one file each, whatever the number of tasks.
+        bucket = F.pmod(F.hash("digest"), F.lit(self.buckets))
+        added = fresh.unionByName(again).repartition(self.buckets, bucket)
         added.withColumn("delivery", F.lit(delivery)).write.insertInto(self.table, overwrite=True)
         return self.entries().where((F.col("delivery") == delivery) & F.col("fresh"))
 

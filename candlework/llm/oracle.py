@@ -42,4 +42,114 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_cha
 FROM joined
 """
 
-ORACLE: dict[str, str] = {"op7_chat_formatting": OP7}
+OP11 = r"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), item_words AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+), sizes AS (
+  SELECT doc_id, len(words) AS n FROM doc_words WHERE len(words) > 0
+), whole AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM sizes
+), measured AS (
+  SELECT doc_id, 100 - 75 + ((75 * n * docs) // length) AS m FROM sizes, whole
+), tfs AS (
+  SELECT doc_id, word, count(*) AS tf FROM (SELECT doc_id, unnest(words) AS word FROM doc_words) GROUP BY ALL
+), weights AS (
+  SELECT word, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tfs, whole GROUP BY word
+), wanted AS (
+  SELECT item_id, word, count(*) AS times FROM (SELECT item_id, unnest(words) AS word FROM item_words) GROUP BY ALL
+), scored AS (
+  SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM wanted JOIN weights USING (word) JOIN tfs USING (word) JOIN measured USING (doc_id)
+  GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 10
+"""
+
+OP12 = """
+WITH RECURSIVE rows AS (
+  SELECT row_number() OVER () AS row, doc_id, source, text, CASE WHEN doc_id IS NULL THEN 1 ELSE
+    xor(list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+      lambda crc, byte: list_reduce([xor(crc, byte)] || range(8),
+        lambda rest, bit: CASE WHEN rest & 1 = 1 THEN xor(rest >> 1, 3988292384) ELSE rest >> 1 END)), 4294967295) % 5
+    END = 0 AS tampered,
+    coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-')
+    || coalesce(octet_length(encode(source)) || ':' || source, '-')
+    || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+    || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-') AS fields
+  FROM documents
+), leaves AS (
+  SELECT row, doc_id, source, sha256(fields || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+         CASE WHEN tampered THEN sha256(fields || coalesce(octet_length(encode(text)) || ':'
+           || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS changed
+  FROM rows
+), sources AS (
+  SELECT source, count(*) AS n, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM leaves GROUP BY source
+), placed AS (
+  SELECT l.*, s.tree, s.n, row_number() OVER (PARTITION BY s.tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+  FROM leaves l JOIN sources s ON l.source IS NOT DISTINCT FROM s.source
+), nodes AS (
+  SELECT tree, n, 0 AS level, place, leaf AS digest FROM placed
+  UNION ALL
+  SELECT tree, (n + 15) // 16, level + 1, place // 16, sha256(string_agg(digest, '' ORDER BY place))
+  FROM nodes WHERE n > 1 GROUP BY tree, n, level, place // 16
+), subroots AS (
+  SELECT tree, digest, count(*) OVER () AS n FROM nodes WHERE n = 1
+), tops AS (
+  SELECT n, 0 AS level, tree AS place, digest FROM subroots
+  UNION ALL
+  SELECT (n + 15) // 16, level + 1, place // 16, sha256(string_agg(digest, '' ORDER BY place))
+  FROM tops WHERE n > 1 GROUP BY n, level, place // 16
+), siblings AS (
+  SELECT tree, level, place, coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+         coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM nodes WHERE n > 1 WINDOW run AS (PARTITION BY tree, level, place // 16 ORDER BY place)
+  UNION ALL
+  SELECT NULL, 100 + level, place, coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), ''),
+         coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '')
+  FROM tops WHERE n > 1 WINDOW run AS (PARTITION BY level, place // 16 ORDER BY place)
+), steps AS (
+  SELECT p.row, s.before, s.after, row_number() OVER (PARTITION BY p.row ORDER BY s.level) AS step
+  FROM placed p JOIN siblings s
+    ON (s.tree = p.tree AND s.place = p.place >> (4 * s.level)) OR (s.tree IS NULL AND s.place = p.tree >> (4 * (s.level - 100)))
+), folded AS (
+  SELECT row, 0 AS step, coalesce(changed, leaf) AS digest FROM placed
+  UNION ALL
+  SELECT s.row, s.step, sha256(s.before || f.digest || s.after) FROM folded f JOIN steps s ON s.row = f.row AND s.step = f.step + 1
+), results AS (
+  SELECT row, arg_max(digest, step) AS folded_root FROM folded GROUP BY row
+), proofs AS (
+  SELECT row, string_agg(before || after, '' ORDER BY step) AS proof FROM steps GROUP BY row
+)
+SELECT p.doc_id, p.leaf, u.digest AS subroot, r.digest AS root, sha256(coalesce(f.proof, '')) AS proof_sha256,
+       e.folded_root, e.folded_root = r.digest AS verified
+FROM placed p JOIN subroots u USING (tree) JOIN (SELECT digest FROM tops WHERE n = 1) r ON true
+JOIN results e USING (row) LEFT JOIN proofs f USING (row)
+"""
+
+OP13 = r"""
+WITH plain AS (
+  SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS text
+  FROM documents
+), grouped AS (
+  SELECT doc_id, text, count(*) OVER (PARTITION BY text) AS group_size,
+         first_value(doc_id) OVER (PARTITION BY text ORDER BY points DESC, doc_id) AS keep_id
+  FROM plain
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS text_sha256 FROM grouped
+"""
+
+ORACLE: dict[str, str] = {
+    "op7_chat_formatting": OP7,
+    "op11_lexical_search": OP11,
+    "op12_merkle_manifest": OP12,
+    "op13_exact_dedup": OP13,
+}
