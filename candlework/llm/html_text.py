@@ -1,8 +1,12 @@
 """Main text of web pages: flat blocks, judged by a decision tree.
 
 A page becomes a flat list of text blocks. Each has its number of words and its link
-density, those of its neighbours, and where it stands. A tree grown from a small
-labelled table keeps or drops it.
+density, those of its neighbours, its share of words that notices are made of, and where
+it stands. A tree grown from a small labelled table keeps or drops it.
+
+Names of classes and ids are no proof: what they say of an element does not count if it
+holds most of the words of the page, and where only a part of a name tells something, the
+words decide.
 """
 
 from __future__ import annotations
@@ -15,9 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-#: Where a block stands: in a menu, notice, form or the like; outside the article of a
-#: page that has one; on a page without an article; inside the article.
-CHROME, OUTSIDE, OPEN, ARTICLE = range(4)
+#: Where a block stands: in a menu, notice, comment or the like; in an element that may be
+#: one; outside the article of a page that has one; on a page without an article; inside
+#: the article.
+CHROME, DOUBTFUL, OUTSIDE, OPEN, ARTICLE = range(5)
+#: What an element says of all inside: by its tag, role or as a list of comments; by a
+#: whole name; by a part of a name, or as a form.
+FIRM, NAMED, SOFT = range(3)
 
 _RAW = frozenset("script style textarea title iframe noframes xmp".split())
 _SKIPPED = frozenset("head noscript template svg math object select button datalist canvas audio video".split())
@@ -27,21 +35,32 @@ _BLOCK = frozenset(
     "section summary table tbody td tfoot th thead tr ul".split()
 )
 _CONTAINER = _BLOCK - frozenset("p hr h1 h2 h3 h4 h5 h6".split())
-_CHROME_TAGS = frozenset("nav aside footer form menu dialog search fieldset".split())
+_CHROME_TAGS = frozenset("nav aside footer menu dialog search".split())
+_FORM_TAGS = frozenset(("form", "fieldset"))
 _ARTICLE_TAGS = frozenset(("article", "main"))
-_CHROME_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar".split())
+_CHROME_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar".split())
 #: Names of classes and ids that tell what an element is for.
 _CHROME_NAMES = frozenset(
     "nav navbar navigation menu topbar header masthead footer sidebar aside ad ads advert adverts advertisement "
     "advertising adsense banner promo promotion sponsor sponsored sponsors cookie cookies consent gdpr notice notices "
     "alert popup modal overlay newsletter subscribe subscription signup signin login register search social share "
-    "sharing related recommended recommendations breadcrumb breadcrumbs pagination pager comment comments reply replies "
-    "respond discussion disqus widget toolbar copyright legal paywall teaser outbrain taboola".split()
+    "sharing related recommended recommendations breadcrumb breadcrumbs pagination pager widget toolbar copyright "
+    "legal paywall teaser outbrain taboola".split()
+)
+_COMMENT_NAMES = frozenset("comment comments reply replies respond discussion disqus".split())
+#: Before another word of a name: it tells of something else, as in has-sidebar or no-ads.
+_OTHERWISE = frozenset("has have no non not with without is can show hide".split())
+#: Words that notices, offers and legal lines are made of.
+_NOTICE_WORDS = frozenset(
+    "cookie cookies consent privacy policy newsletter subscribe subscription advertisement sponsored copyright rights "
+    "reserved accept login signup".split()
 )
-_ANY = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_WORD = re.compile(r"[a-z]+")
 _OPEN_TAG = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)|(!--)|[!?])")
 _PLAIN = re.compile(r"[^>\"']*")
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 @dataclass
@@ -49,13 +68,19 @@ class Block:
     text: str
     words: int
     linked: int
-    chrome: bool
+    #: The number and kind of each element around it that says something.
+    marks: tuple[tuple[int, int], ...]
     article: bool
 
     @property
     def density(self) -> float:
         return self.linked / self.words if self.words else 0.0
 
+    @property
+    def notice(self) -> float:
+        found = _WORD.findall(self.text.lower())
+        return sum(w in _NOTICE_WORDS for w in found) / len(found) if found else 0.0
+
 
 class _Quotes:
     """Ends of quoted values. Looks no further for a kind that has no more of it."""
@@ -79,46 +104,63 @@ class _Quotes:
             at = max(at, close) + 1
 
 
-def _names(attributes: str) -> tuple[set[str], bool]:
-    """Words in class, id and role; whether the element is hidden."""
-    names, hidden = set(), False
-    for key, a, b, c in _ATTRIBUTE.findall(attributes):
-        value = a or b or c
-        key = key.lower()
-        if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-            hidden = True
-        elif key == "role":
-            names.update("role:" + r for r in value.lower().split())
-        else:
-            names.update(w.lower() for w in _ANY.findall(value))
-    return names, hidden
+def _attributes(text: str) -> dict[str, str]:
+    """The first value of each attribute, by its lower-cased name."""
+    out: dict[str, str] = {}
+    for key, a, b, c in _ATTRIBUTE.findall(text):
+        out.setdefault(key.lower(), a or b or c)
+    return out
+
+
+def _named(names: list[str], in_article: bool) -> int | None:
+    """What the names of an element say of it, the strongest first."""
+    found = []
+    for name in names:
+        parts = [p.lower() for p in _PART.findall(name)]
+        ends = {parts[0], parts[-1]} if parts and _OTHERWISE.isdisjoint(parts[:-1]) else set()
+        if in_article:
+            ends.discard("header")
+        if not ends.isdisjoint(_COMMENT_NAMES):
+            found.append(FIRM)
+        elif not ends.isdisjoint(_CHROME_NAMES):
+            found.append(NAMED if len(parts) == 1 else SOFT)
+    return min(found, default=None)
 
 
-def _is_chrome(tag: str, attributes: str, in_article: bool) -> bool:
+def _mark(tag: str, attributes: str, in_article: bool) -> int | None:
+    """What an element says of all that is inside."""
     if tag in _CHROME_TAGS or (tag == "header" and not in_article):
-        return True
+        return FIRM
+    found = SOFT if tag in _FORM_TAGS else None
     if not attributes or tag in ("html", "body", "main"):
-        return False
-    names, hidden = _names(attributes)
-    if hidden or any("role:" + r in names for r in _CHROME_ROLES):
-        return True
-    if in_article or tag == "article":
-        names.discard("header")
-    return not _CHROME_NAMES.isdisjoint(names)
+        return found
+    own = _attributes(attributes)
+    hidden = "hidden" in own or own.get("aria-hidden", "").lower() == "true" or _UNSEEN.search(own.get("style", ""))
+    if hidden or not _CHROME_ROLES.isdisjoint(own.get("role", "").lower().split()):
+        return FIRM
+    named = _named([*own.get("class", "").split(), own.get("id", "")], in_article or tag == "article")
+    return named if found is None else found if named is None else min(found, named)
 
 
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order, white space inside each as one space."""
     out: list[Block] = []
     pieces: list[tuple[str, bool]] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name; chrome, article and skipped with all above
+    # Name; marks, article and skipped with all above.
+    stack: list[tuple[str, tuple[tuple[int, int], ...], bool, bool]] = []
     opened: dict[str, int] = {}
-    link = paragraph = False
+    link, paragraph, marked = False, (), 0
     quotes = _Quotes(page)
     size, at = len(page), 0
 
     def state():
-        return stack[-1][1:] if stack else (False, False, False)
+        return stack[-1][1:] if stack else ((), False, False)
+
+    def marks_of(tag, attributes, article):
+        nonlocal marked
+        kind = _mark(tag, attributes, article)
+        marked += kind is not None
+        return () if kind is None else ((marked, kind),)
 
     def flush():
         nonlocal pieces, paragraph
@@ -127,8 +169,8 @@ def blocks_of(page: str) -> list[Block]:
             if text:
                 linked = sum(len(entities.unescape(t).split()) for t, inside in pieces if inside)
                 words = len(text.split(" "))
-                chrome, article, _ = state()
-                out.append(Block(text, words, min(linked, words), chrome or paragraph, article))
+                marks, article, _ = state()
+                out.append(Block(text, words, min(linked, words), marks + paragraph, article))
             pieces = []
 
     def close(name):
@@ -164,7 +206,7 @@ def blocks_of(page: str) -> list[Block]:
             pieces.append((" ", link))
         if tag in _BLOCK:
             flush()
-            paragraph = False
+            paragraph = ()
         if ending:
             if opened.get(tag):
                 close(tag)
@@ -179,22 +221,25 @@ def blocks_of(page: str) -> list[Block]:
             close("li")
         if tag in _CONTAINER or tag in _SKIPPED:
             if not attributes.endswith("/") or tag in _CONTAINER:
-                chrome, article, skipped = state()
-                chrome = chrome or _is_chrome(tag, attributes, article)
-                article = article or (tag in _ARTICLE_TAGS and not chrome)
-                stack.append((tag, chrome, article, skipped or tag in _SKIPPED))
+                marks, article, skipped = state()
+                if tag in _ARTICLE_TAGS:
+                    marks = tuple(m for m in marks if m[1] != SOFT)
+                marks += marks_of(tag, attributes, article)
+                article = article or (tag in _ARTICLE_TAGS and all(kind != FIRM for _, kind in marks))
+                stack.append((tag, marks, article, skipped or tag in _SKIPPED))
                 opened[tag] = opened.get(tag, 0) + 1
         elif tag in _BLOCK and attributes:
-            paragraph = _is_chrome(tag, attributes, state()[1])
+            paragraph = marks_of(tag, attributes, state()[1])
     flush()
     return out
 
 
-#: Features: place, words, link density, then words and density of the block before and after.
-FEATURES = ("place", "words", "density", "words_before", "density_before", "words_after", "density_after")
+#: Features: place, words, link density, then words and density of the block before and
+#: after, and the share of notice words.
+FEATURES = ("place", "words", "density", "words_before", "density_before", "words_after", "density_after", "notice")
 
-#: The labelled table: features as above, then whether the block is main text.
-TABLE = [
+#: Labelled blocks without notice words: features as above, then whether it is main text.
+_LABELLED = [
     # Menus, notices and the like, short and long.
     (CHROME, 1, 1.0, 0, 0.0, 1, 1.0, 0),
     (CHROME, 6, 1.0, 6, 1.0, 9, 0.0, 0),
@@ -259,10 +304,51 @@ TABLE = [
     (OPEN, 10, 0.6, 60, 0.0, 2, 1.0, 0),
     (OPEN, 5, 0.0, 2, 1.0, 6, 0.0, 0),
     (OPEN, 8, 0.2, 4, 0.0, 3, 0.0, 0),
+    # In forms and in elements of telling names: long text among its like, and the rest.
+    (DOUBTFUL, 60, 0.0, 45, 0.0, 80, 0.0, 1),
+    (DOUBTFUL, 35, 0.1, 50, 0.0, 30, 0.0, 1),
+    (DOUBTFUL, 90, 0.0, 8, 0.0, 70, 0.0, 1),
+    (DOUBTFUL, 26, 0.0, 70, 0.0, 28, 0.1, 1),
+    (DOUBTFUL, 5, 0.0, 3, 0.0, 4, 0.0, 0),
+    (DOUBTFUL, 12, 0.0, 6, 1.0, 7, 0.0, 0),
+    (DOUBTFUL, 2, 1.0, 2, 1.0, 3, 1.0, 0),
+    (DOUBTFUL, 9, 0.4, 60, 0.0, 2, 0.0, 0),
+    (DOUBTFUL, 3, 0.0, 1, 0.0, 2, 0.0, 0),
+    (DOUBTFUL, 28, 0.7, 30, 0.8, 26, 0.6, 0),
+    (DOUBTFUL, 15, 0.0, 5, 0.0, 2, 0.0, 0),
+    (DOUBTFUL, 7, 0.0, 2, 1.0, 60, 0.0, 1),
+    (DOUBTFUL, 6, 0.0, 50, 0.0, 45, 0.0, 1),
+    (DOUBTFUL, 1, 0.0, 55, 0.0, 1, 0.0, 0),
+    (DOUBTFUL, 1, 0.0, 40, 0.0, 0, 0.0, 0),
+    (DOUBTFUL, 4, 0.0, 70, 0.0, 3, 0.0, 0),
+    (DOUBTFUL, 45, 0.0, 50, 0.0, 1, 0.0, 1),
+    # The last words of a page without any sign.
+    (OPEN, 40, 0.0, 42, 0.0, 0, 0.0, 1),
+    (OPEN, 55, 0.0, 60, 0.0, 1, 0.0, 1),
+    (OPEN, 45, 0.0, 50, 0.0, 5, 0.0, 1),
+    (OPEN, 1, 0.0, 45, 0.0, 0, 0.0, 0),
+    (OPEN, 2, 0.0, 60, 0.0, 1, 0.0, 0),
+    (OPEN, 1, 0.0, 40, 0.0, 2, 0.0, 0),
+]
+#: Blocks with notice words, on pages that tell nothing else; text may speak of such things too.
+_NOTICES = [
+    (OPEN, 22, 0.1, 6, 1.0, 60, 0.0, 0.18, 0),
+    (OPEN, 14, 0.2, 4, 1.0, 8, 0.0, 0.25, 0),
+    (OPEN, 30, 0.0, 70, 0.0, 0, 0.0, 0.15, 0),
+    (OPEN, 9, 0.0, 80, 0.0, 0, 0.0, 0.3, 0),
+    (OPEN, 45, 0.1, 55, 0.0, 2, 1.0, 0.16, 0),
+    (OPEN, 14, 0.0, 1, 1.0, 6, 0.0, 0.28, 0),
+    (OPEN, 18, 0.0, 0, 0.0, 40, 0.0, 0.2, 0),
+    (OPEN, 80, 0.0, 50, 0.0, 60, 0.0, 0.03, 1),
+    (OPEN, 40, 0.0, 45, 0.0, 38, 0.0, 0.05, 1),
+    (ARTICLE, 30, 0.1, 40, 0.0, 50, 0.0, 0.2, 1),
+    (ARTICLE, 6, 0.0, 20, 0.0, 60, 0.0, 0.33, 1),
+    (DOUBTFUL, 40, 0.0, 30, 0.0, 50, 0.0, 0.2, 0),
 ]
+TABLE = [(*r[:-1], 0.0, r[-1]) for r in _LABELLED] + _NOTICES
 
 
-def grow(rows, depth: int = 6):
+def grow(rows, depth: int = 10):
     """A decision tree: the label of a leaf, or (feature, bound, at most, above) by Gini impurity."""
     labels = [r[-1] for r in rows]
     share = sum(labels) / len(labels)
@@ -294,14 +380,29 @@ def decide(tree, row) -> bool:
     return bool(tree)
 
 
+def places(blocks: list[Block]) -> list[int]:
+    """Where each block stands. A name does not count for an element with most of the page's words."""
+    words: dict[int, int] = {}
+    for b in blocks:
+        for number, _ in b.marks:
+            words[number] = words.get(number, 0) + b.words
+    half = sum(b.words for b in blocks) / 2
+    out = []
+    for b in blocks:
+        kinds = {kind for number, kind in b.marks if kind == FIRM or words[number] <= half}
+        chrome = FIRM in kinds or NAMED in kinds
+        out.append(CHROME if chrome else ARTICLE if b.article else DOUBTFUL if kinds else OPEN)
+    if ARTICLE in out:
+        out = [OUTSIDE if place == OPEN else place for place in out]
+    return out
+
+
 def features(blocks: list[Block]) -> list[tuple]:
-    has_article = any(b.article and not b.chrome for b in blocks)
     rows = []
-    for i, b in enumerate(blocks):
+    for i, (b, place) in enumerate(zip(blocks, places(blocks), strict=True)):
         before = (blocks[i - 1].words, blocks[i - 1].density) if i else (0, 0.0)
         after = (blocks[i + 1].words, blocks[i + 1].density) if i + 1 < len(blocks) else (0, 0.0)
-        place = CHROME if b.chrome else ARTICLE if b.article else OUTSIDE if has_article else OPEN
-        rows.append((place, b.words, b.density, *before, *after))
+        rows.append((place, b.words, b.density, *before, *after, b.notice))
     return rows
 
 
