@@ -15,9 +15,10 @@ Zipf's law: the logarithm of its rank, in whole millionths, so that sums are exa
 
 from __future__ import annotations
 
+import bisect
 import heapq
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 import numpy as np
 import pyarrow as pa
@@ -83,6 +84,11 @@ def vocabulary(pieces: list[bytes], first_byte: int = 3) -> Vocabulary:
     )
 
 
+def _plain(v: Vocabulary) -> tuple:
+    """Without the class, which a broadcast names only: workers need no copy of the package."""
+    return tuple(getattr(v, f.name) for f in fields(v))
+
+
 def load_vocabulary(path: str = MODEL) -> Vocabulary:
     """The pieces of a SentencePiece model file, read on the driver."""
     import sentencepiece
@@ -118,39 +124,108 @@ def _character(lead: int) -> int:
     return 1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
 
 
-def lattice(v: Vocabulary, segment: bytes) -> list[list[tuple[int, int, int]]]:
-    """For each end the edges (length, id, cost) that lead to it."""
-    n = len(segment)
-    edges: list[list[tuple[int, int, int]]] = [[] for _ in range(n + 1)]
-    starts = [p for p in range(n) if segment[p] & 0xC0 != 0x80]
-    for p in starts:
-        for length in range(1, min(v.longest, n - p) + 1):
-            i = v.ids.get(segment[p : p + length])
+def _lone(v: Vocabulary, segment: bytes) -> bytearray:
+    """For each byte whether it is of a character without a piece."""
+    out = bytearray(len(segment))
+    for p in range(len(segment)):
+        if segment[p] & 0xC0 != 0x80:
+            size = min(_character(segment[p]), len(segment) - p)
+            if segment[p : p + size] not in v.ids:
+                out[p : p + size] = bytes([1]) * size
+    return out
+
+
+def _edges(v: Vocabulary, segment: bytes, lone: bytearray, end: int) -> list[tuple[int, int, int]]:
+    """The edges (length, id, cost) that lead to ``end``."""
+    found = [(1, v.first_byte + segment[end - 1], BYTE_COST)] if lone[end - 1] else []
+    for p in range(end - 1, max(end - v.longest, 0) - 1, -1):
+        if segment[p] & 0xC0 != 0x80:
+            i = v.ids.get(segment[p:end])
             if i is not None:
-                edges[p + length].append((length, i, int(v.costs[i])))
-        size = min(_character(segment[p]), n - p)
-        if segment[p : p + size] not in v.ids:
-            for q in range(p, p + size):
-                edges[q + 1].append((1, v.first_byte + segment[q], BYTE_COST))
-    return edges
+                found.append((end - p, i, int(v.costs[i])))
+    return found
+
+
+def lattice(v: Vocabulary, segment: bytes) -> list[list[tuple[int, int, int]]]:
+    """For each end the edges that lead to it."""
+    lone = _lone(v, segment)
+    return [[], *[_edges(v, segment, lone, end) for end in range(1, len(segment) + 1)]]
+
+
+class _Step:
+    """A path from the end of a segment back to ``place``; steps share what lies behind them.
+
+    ``jump`` is a step further behind, such that any step is reached in few jumps.
+    """
+
+    __slots__ = ("total", "place", "cost", "id", "length", "above", "jump", "depth")
+
+    def __init__(self, total, place, cost, id=0, length=0, above=None):
+        self.total, self.place, self.cost, self.id, self.length, self.above = total, place, cost, id, length, above
+        if above is None:
+            self.depth, self.jump = 0, self
+        else:
+            self.depth = above.depth + 1
+            far = above.jump
+            self.jump = far.jump if above.depth - far.depth == far.depth - far.jump.depth else above
+
+    def __lt__(self, other):
+        """By cost of the best path through it; among equals the longer pieces first, from the end."""
+        if self.total != other.total:
+            return self.total < other.total
+        a, b = self, other
+        while a.depth != b.depth:
+            if a.depth > b.depth:
+                a = a.jump if a.jump.depth >= b.depth else a.above
+            else:
+                b = b.jump if b.jump.depth >= a.depth else b.above
+        if a is b:
+            return self.depth < other.depth
+        while a.above is not b.above:
+            a, b = (a.jump, b.jump) if a.jump is not b.jump else (a.above, b.above)
+        return a.length > b.length
+
+    def ids(self) -> list[int]:
+        out, step = [], self
+        while step.above is not None:
+            out.append(step.id)
+            step = step.above
+        return out
 
 
 def n_best(v: Vocabulary, segment: bytes, n: int) -> list[tuple[int, list[int]]]:
-    """The n cheapest paths (cost, ids) in order; of equal ones that with the longer last pieces first."""
-    edges = lattice(v, segment)
-    ahead = [0] + [int(FAR)] * len(segment)
+    """The n cheapest paths (cost, ids) in order; of equal ones that with the longer last pieces first.
+
+    A step is left out once n others, with no path in common, are known to lead to cheaper
+    paths; so the memory is that of n paths, however long the segment.
+    """
+    lone = _lone(v, segment)
+    ahead = np.full(len(segment) + 1, FAR)
+    ahead[0] = 0
     for end in range(1, len(segment) + 1):
-        ahead[end] = min((ahead[end - k] + c for k, _, c in edges[end]), default=int(FAR))
+        ahead[end] = min((int(ahead[end - k]) + c for k, _, c in _edges(v, segment, lone, end)), default=int(FAR))
     out: list[tuple[int, list[int]]] = []
-    # (cost of the best path through it, lengths from the end, place, cost so far, ids from the end)
-    heap = [(ahead[-1], (), len(segment), 0, ())]
+    heap = [_Step(int(ahead[-1]), len(segment), 0)]
+    # The totals of the n best of all steps that are not continued by another one.
+    least = [int(ahead[-1])]
     while heap and len(out) < n:
-        total, lengths, place, cost, ids = heapq.heappop(heap)
-        if place == 0:
-            out.append((total, list(reversed(ids))))
+        step = heapq.heappop(heap)
+        if step.place == 0:
+            out.append((step.total, step.ids()))
             continue
-        for k, i, c in edges[place]:
-            heapq.heappush(heap, (cost + c + ahead[place - k], (*lengths, -k), place - k, cost + c, (*ids, i)))
+        onward = [
+            _Step(step.cost + c + int(ahead[step.place - k]), step.place - k, step.cost + c, i, k, step)
+            for k, i, c in _edges(v, segment, lone, step.place)
+        ]
+        onward.sort()
+        # The first goes on with the step's own total, the others are new.
+        for other in onward[1:]:
+            if len(least) < n or other.total < least[-1]:
+                bisect.insort(least, other.total)
+                del least[n:]
+        for other in onward:
+            if len(least) < n or other.total <= least[-1]:
+                heapq.heappush(heap, other)
     return out
 
 
@@ -340,7 +415,7 @@ def _lists(flat: np.ndarray, ends: np.ndarray, null: np.ndarray) -> pa.Array:
 
 def _encode(vocabulary, n: int, column: str, keep: list[str]):
     def run(batches):
-        v, known = vocabulary.value, {}
+        v, known = Vocabulary(*vocabulary.value), {}
         for batch in batches:
             texts = batch.column(column)
             for a, b in blocks(texts, BLOCK):
@@ -378,7 +453,7 @@ def encode(docs: DataFrame, v: Vocabulary | None = None, n: int = N_BEST, text:
     )
     names = [f.name for f in keep]
     return docs.select(*names, text).mapInArrow(
-        _encode(spark.sparkContext.broadcast(v), n, text, names), T.StructType([*keep, *new.fields])
+        _encode(spark.sparkContext.broadcast(_plain(v)), n, text, names), T.StructType([*keep, *new.fields])
     )
 
 
