@@ -6,7 +6,7 @@ itself score the rest; a Viterbi pass with a penalty for each switch labels the
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -247,7 +247,7 @@ def _label(model, keep, switch):
         return lang, share, spans
 
     def run(batches):
-        m = model.value
+        m = Model(*model.value)
         for batch in batches:
             column = batch.column("text")
             for a, b in blocks(column):
@@ -275,7 +275,8 @@ def identify(docs: DataFrame, model: Model | None, switch: float = SWITCH) -> Da
     none = F.array().cast(schema["spans"].dataType)
     if model is None:
         return rows.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), none.alias("spans"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Without the class, which a broadcast names only: workers need no copy of the package.
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(getattr(model, f.name) for f in fields(model)))
     found = rows.mapInArrow(_label(shared, ["doc_id", "letters"], switch), schema)
     return found.select(
         "doc_id",
