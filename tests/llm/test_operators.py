@@ -1,8 +1,11 @@
 """The text operators against brute force, and over awkward rows."""
 
+import base64
 import collections
+import pickle
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -97,6 +100,69 @@ def test_html(spark):
     assert got == {i: t for i, (_, t) in enumerate(cases)}
 
 
+ARTICLE = "<h1>The valley and its people</h1>" + "".join(
+    f"<p>{' '.join(f'word{i}x{j}' for j in range(40))}.</p>" for i in range(4)
+)
+ARTICLE_TEXT = "The valley and its people\n" + "\n".join(
+    " ".join(f"word{i}x{j}" for j in range(40)) + "." for i in range(4)
+)
+MENU, LEGAL = "<nav><ul><li><a href=1>Home</a><li><a href=2>News</a></ul></nav>", "<footer>&copy; 2020 all rights reserved</footer>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div style="overflow:hidden"><article>{}</article></div>',
+        '<article title="The hidden valley">{}</article>',
+        '<article data-id="social">{}</article>',
+        "<article data-x='class=\"comments\"'>{}</article>",
+        '<article data-hidden="false">{}</article>',
+        '<div class="no-ads"><article>{}</article></div>',
+        '<div class="layout has-sidebar"><article>{}</article><div class="sidebar">Read this too, it is good</div></div>',
+        '<div class="overlay">{}</div><div class="overlay">Sign up here and now</div>',
+        '<div class="post-header-search">{}</div>',
+        '<form method=post id="aspnetForm"><div><div>{}</div></div><div><input>Name <select><option>a</select></div></form>',
+        '<form method=post><main>{}</main></form><form>Your mail</form>',
+        "<div><p>This site uses cookies for a better visit, read our privacy policy and accept.</p></div><div>{}</div>",
+        '<div>{}</div><div class="comment-list"><article><p>I liked it very much thank you all for this and '
+        "for the rest of what you wrote here and I will be back for more of it.</p></article></div>",
+        '<main>{}</main><section hidden>Not seen</section><p style="display: none">Nor this one here</p>',
+        '<main>{}</main><div role="alert dialog">Mind the gap please</div>',
+    ],
+)
+def test_articles_are_found_whatever_names_say(page):
+    """Names, attributes of other meaning and forms round the page neither hide the article nor save a notice."""
+    tree = html_text.grow(html_text.TABLE)
+    assert html_text.main_text(f"<body>{MENU}{page.format(ARTICLE)}{LEGAL}</body>", tree) == ARTICLE_TEXT
+
+
+def test_words_decide_not_names_alone():
+    """The same words around them: the tree keeps and drops blocks of one and the same place."""
+    tree = html_text.grow(html_text.TABLE)
+    verdicts = collections.defaultdict(set)
+    links = "".join(f"<li><a href={i}>Part {i}</a>" for i in range(6))
+    for page in (
+        f"<body>{MENU}<div>{ARTICLE}</div><ul>{links}</ul><p>We use cookies, accept our privacy policy</p></body>",
+        f"<body><form>{ARTICLE}<p>Name</p></form></body>",
+        f"<body><div class='main-search'>Find it <a href=1>Go</a></div><article>{ARTICLE}<ul>{links}</ul></article></body>",
+    ):
+        rows = html_text.features(html_text.blocks_of(page))
+        for r in rows:
+            verdicts[r[0]].add(html_text.decide(tree, r))
+    assert verdicts[html_text.OPEN] == verdicts[html_text.ARTICLE] == {True, False}
+    assert html_text.DOUBTFUL in verdicts or html_text.OPEN in verdicts
+
+
+def test_awkward_pages(spark):
+    schema = "page_id bigint, url string, html string, text string, id string"
+    page = f"<body><article>{ARTICLE}</article></body>"
+    pages = [(1, None, page, "x", None), (1, None, page, "x", None), (None, "u", page, None, None), (None, None, None, None, None)]
+    got = html_text.extract_main_text(spark.createDataFrame(pages, schema))
+    assert got.columns == ["page_id", "url", "id", "text"]
+    assert sorted((r["page_id"] or 0, r["text"]) for r in got.collect()) == [(0, ""), (0, ARTICLE_TEXT), (1, ARTICLE_TEXT), (1, ARTICLE_TEXT)]
+    assert html_text.extract_main_text(spark.createDataFrame([], schema)).count() == 0
+
+
 def test_near_duplicates(spark, table, awkward, empty):
     rng = random.Random(5)
     docs = [(r["doc_id"], r["text"]) for r in table("documents").collect()]
@@ -232,6 +298,48 @@ def test_pieces(spark, table, awkward, empty):
     assert pieces.encode(empty, v).count() == 0
 
 
+def test_a_long_word_costs_no_more_memory_than_its_paths():
+    """Brute force at small sizes is above; here the best paths stay sound at any length."""
+    v = pieces.load_vocabulary()
+    word = base64.b64encode(random.Random(1).randbytes(15_000))
+    tracemalloc.start()
+    found = pieces.n_best(v, word, 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20
+    assert [c for c, _ in found] == sorted(c for c, _ in found) and len({tuple(i) for _, i in found}) == 4
+    for cost, ids in found:
+        assert b"".join(v.pieces[i] for i in ids) == word and cost == sum(int(v.costs[i]) for i in ids)
+    # Ties by the thousand: the longer pieces come first from the end.
+    same = pieces.n_best(v, b"ab" * 3_000, 3)
+    assert b"".join(v.pieces[i] for i in same[0][1]) == b"ab" * 3_000
+
+
+def test_broadcasts_name_no_class(spark, sf_dir):
+    """Workers need no copy of the package."""
+    model = langid.train(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    held = []
+
+    class Context:
+        def broadcast(self, value):
+            held.append(value)
+            return spark.sparkContext.broadcast(value)
+
+    class Session:
+        sparkContext = Context()
+
+    class Docs:
+        sparkSession = Session()
+
+        def __getattr__(self, name):
+            return getattr(docs, name)
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    langid.identify(Docs(), model)
+    pieces.encode(Docs(), pieces.load_vocabulary())
+    assert len(held) == 2 and all(b"candlework" not in pickle.dumps(x) for x in held)
+
+
 def test_pipeline(spark, small):
     import corpus_pipeline
 
