@@ -27,6 +27,10 @@ from candlework.functions.numeric import (
 )
 
 
+# Parts of a ticker whose rows are ranked for a long list.
+SALTS = 64
+
+
 def _top(df: DataFrame, order: list[Column], n: int | None) -> DataFrame:
     ordered = df.orderBy(*order, "ticker", "date")
     return ordered if n is None else ordered.limit(n)
@@ -66,9 +70,19 @@ def top_losses(enriched: DataFrame, n: int | None = 10) -> DataFrame:
 
 
 def _first_per_ticker(df: DataFrame, order: list[Column], n: int) -> DataFrame:
-    # The rank limit is applied in the map tasks too (WindowGroupLimit, for n up to
-    # spark.sql.optimizer.windowGroupLimitThreshold): few rows of even the largest
-    # ticker are shuffled.
+    """The first ``n`` rows of each ticker, with their ``rank``.
+
+    Up to spark.sql.optimizer.windowGroupLimitThreshold the limit is applied in the map
+    tasks too (WindowGroupLimit): few rows of even the largest ticker are shuffled. For a
+    larger n each ticker is dealt into ``SALTS`` parts first; the first n of all are among
+    the first n of each, which is what the last window sorts.
+    """
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    columns = df.columns
+    if n > limit:
+        part = Window.partitionBy("ticker", "_part").orderBy(*order)
+        dealt = df.withColumn("_part", F.pmod(F.xxhash64(*columns), F.lit(SALTS)))
+        df = dealt.withColumn("_rank", F.row_number().over(part)).where(F.col("_rank") <= n).select(*columns)
     window = Window.partitionBy("ticker").orderBy(*order)
     return df.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= n)
 

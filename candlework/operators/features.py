@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -20,6 +20,8 @@ from candlework.operators.clean import dedup_keep_last
 from candlework.operators.ordered import HOT_ROWS, over_ticker
 
 FRAMES = [7, 30]
+# The rows before a row that its features depend on.
+REACH = max(FRAMES) - 1
 
 
 def _running(window: WindowSpec) -> dict[str, Column]:
@@ -69,14 +71,17 @@ def add_features(
     dedup_first: bool = False,
     unique_days: bool = False,
     hot_rows: int = HOT_ROWS,
+    also: Callable[[WindowSpec], dict[str, Column]] | None = None,
 ) -> DataFrame:
     """Add daily_return_pct, ma_7, ma_30 and daily_range to cleaned bars.
 
     Frames count rows, not days. Several bars of one day count one by one, in
     the order given, unless ``dedup_first`` keeps the last of them beforehand
     (the last column of ``order_by`` decides). See ``over_ticker`` for
-    ``unique_days`` and ``hot_rows``.
+    ``unique_days`` and ``hot_rows``. ``also`` names further columns of the same
+    windows; they may look back ``REACH`` rows, and do not begin with an underscore.
     """
+    more = (lambda window: {}) if also is None else also
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     if dedup_first:
         bars = dedup_keep_last(bars, ["ticker", "date"], order[-1])
@@ -84,13 +89,14 @@ def add_features(
     rows = over_ticker(
         bars.withColumn("_cents", to_units(F.col("close"), PRICE_DIGITS)),
         order,
-        [_running, _before_frame(FRAMES)],
-        reach=max(FRAMES) - 1,
+        [lambda window: {**_running(window), **more(window)}, _before_frame(FRAMES)],
+        reach=REACH,
         unique_days=unique_days,
         hot_rows=hot_rows,
     )
     return rows.select(
         *bars.columns,
+        *[c for c in rows.columns if c not in bars.columns and not c.startswith("_")],
         _return_pct().alias("daily_return_pct"),
         *[_moving_average(n).alias(f"ma_{n}") for n in FRAMES],
         daily_range(F.col("high"), F.col("low")).alias("daily_range"),

@@ -61,9 +61,10 @@ def over_ticker(
     Rows without a ticker belong to no series and are left out; rows that tie on
     ``order_by`` are ordered by their content.
 
-    ``unique_days`` says that (ticker, date) is unique. A ticker then has at most
-    one row per calendar day, which bounds its task, and no size check is run.
-    Otherwise ``df`` is read up to three times (its tickers for the check, then the
+    ``unique_days`` says that (ticker, date) is unique; a second bar of a day is an
+    error, found in the same window. A ticker then has at most one row per calendar
+    day, which bounds its task, and no size check is run. ``order_by`` has to begin with
+    ``date``. Otherwise ``df`` is read up to three times (its tickers for the check, then the
     ordinary and the very large ones): give a stored one.
     """
     df = df.where(F.col("ticker").isNotNull())
@@ -72,7 +73,9 @@ def over_ticker(
         order_by = [*order_by, *rest]
     window = Window.partitionBy("ticker").orderBy(*order_by)
     if unique_days:
-        return _apply(df, window, steps)
+        if order_by[0] != "date":
+            raise ValueError("days can be told to be unique only in order of date")
+        return _apply(_one_bar_a_day(df, window), window, steps)
     hot = stored(hot_tickers(df, hot_rows), "hot")
     if hot.isEmpty():
         return _apply(df, window, steps)
@@ -81,6 +84,14 @@ def over_ticker(
     return cold.unionByName(_in_blocks(large, order_by, steps, reach, hot_rows))
 
 
+def _one_bar_a_day(df: DataFrame, window: WindowSpec) -> DataFrame:
+    """``df``, with an error for a ticker's second bar of a day."""
+    message = F.concat(F.lit("several bars of "), F.col("ticker"), F.lit(" on "), F.col("date").cast("string"))
+    several = F.col("_day_before") == F.col("date")
+    one = F.when(several, F.raise_error(message).cast("boolean")).otherwise(True)
+    return df.withColumn("_day_before", F.lag("date").over(window)).where(one).drop("_day_before")
+
+
 def _apply(df: DataFrame, window: WindowSpec, steps: Sequence[Step]) -> DataFrame:
     for step in steps:
         df = df.withColumns(step(window))

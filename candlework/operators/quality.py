@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlework.operators.summary import (
     bad_price_count,
@@ -34,6 +35,22 @@ STALE_DAYS = 7
 MIN_POPULATED_PCT = 90
 
 
+# The counts that the report needs, of one month of the enriched table.
+MONTH_COUNTS = T.StructType(
+    [
+        T.StructField("month", T.DateType()),
+        T.StructField("e", T.LongType()),
+        T.StructField("n_null", T.LongType()),
+        T.StructField("n_bad", T.LongType()),
+        T.StructField("n_dup", T.LongType()),
+        T.StructField("first", T.DateType()),
+        T.StructField("last", T.DateType()),
+        T.StructField("n_7", T.LongType()),
+        T.StructField("n_30", T.LongType()),
+    ]
+)
+
+
 def _check(df: DataFrame, name: str, passed: Column, detail: Column) -> DataFrame:
     return df.select(_row(name, passed, detail).alias("r")).select("r.*")
 
@@ -175,6 +192,65 @@ def check_ma_populated(enriched: DataFrame) -> DataFrame:
     return ma_population(enriched).select(F.inline(F.array(row)))
 
 
+def _seen(wanted: list[str]) -> Column:
+    # No larger than the list of expected tickers: the others are NULL here.
+    return F.collect_set(F.when(F.col("ticker").isin(wanted), F.col("ticker"))).alias("seen")
+
+
+def month_counts(enriched: DataFrame) -> DataFrame:
+    """``MONTH_COUNTS`` of a table with its ``slice``, the month, in one pass."""
+    per_key = enriched.groupBy("slice", "ticker", "date").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("close").isNull()).alias("no_close"),
+        F.count_if(F.col("close") <= 0).alias("bad"),
+        F.count("ma_7").alias("with_7"),
+        F.count("ma_30").alias("with_30"),
+    )
+    no_key = F.col("ticker").isNull() | F.col("date").isNull()
+    counts = per_key.groupBy(F.col("slice").alias("month")).agg(
+        F.sum("n").alias("e"),
+        F.sum(F.when(no_key, F.col("n")).otherwise(F.col("no_close"))).alias("n_null"),
+        F.sum("bad").alias("n_bad"),
+        F.count_if(F.col("n") > 1).alias("n_dup"),
+        F.min("date").alias("first"),
+        F.max("date").alias("last"),
+        F.sum("with_7").alias("n_7"),
+        F.sum("with_30").alias("n_30"),
+    )
+    return counts.select(MONTH_COUNTS.fieldNames())
+
+
+def _report(
+    facts: Sequence[DataFrame],
+    wanted: list[str],
+    as_of: dt.date,
+    start: dt.date,
+    require_both: bool,
+) -> DataFrame:
+    """The rows of the report from frames of one row each, which are folded into one."""
+    names = [c for df in facts for c in df.columns]
+    both = union_by_name(*facts).agg(*[F.max(c).alias(c) for c in names])
+    missing = F.array_except(
+        F.array(*[F.lit(t) for t in wanted]).cast("array<string>"), F.col("seen")
+    )
+
+    # Sums over no month at all are NULL.
+    def count(c: str) -> Column:
+        return F.coalesce(c, F.lit(0).cast("long"))
+
+    rows = [
+        _row_counts(count("e"), F.col("s"), len(wanted)),
+        _null_critical(count("n_null")),
+        _duplicates(count("n_dup")),
+        _price_sanity(count("n_bad")),
+        _tickers_present(missing, len(wanted)),
+        _date_range(F.col("first"), F.col("last"), as_of, start, require_both),
+        _ma_populated(count("e"), count("n_7"), count("n_30")),
+    ]
+    listed = both.select(F.posexplode(F.array(*rows)).alias("i", "r"))
+    return listed.select((F.col("i") + 1).alias("ord"), "r.*")
+
+
 def quality_report(
     enriched: DataFrame,
     summary: DataFrame,
@@ -199,29 +275,31 @@ def quality_report(
         F.count("ma_30").alias("n_30"),
     )
     keys = enriched.groupBy("ticker", "date").count()
-    keys = keys.agg(
-        F.count_if(F.col("count") > 1).alias("n_dup"),
-        # No larger than the list of expected tickers: the others are NULL here.
-        F.collect_set(F.when(F.col("ticker").isin(wanted), F.col("ticker"))).alias("seen"),
-    )
-    # One-row frames, folded into one row.
+    keys = keys.agg(F.count_if(F.col("count") > 1).alias("n_dup"), _seen(wanted))
     facts = [counts, keys, summary.agg(F.count(F.lit(1)).alias("s"))]
-    names = [c for df in facts for c in df.columns]
-    both = union_by_name(*facts).agg(*[F.max(c).alias(c) for c in names])
-    missing = F.array_except(
-        F.array(*[F.lit(t) for t in wanted]).cast("array<string>"), F.col("seen")
-    )
-    rows = [
-        _row_counts(F.col("e"), F.col("s"), len(wanted)),
-        _null_critical(F.col("n_null")),
-        _duplicates(F.col("n_dup")),
-        _price_sanity(F.col("n_bad")),
-        _tickers_present(missing, len(wanted)),
-        _date_range(F.col("first"), F.col("last"), as_of, start, require_both),
-        _ma_populated(F.col("e"), F.col("n_7"), F.col("n_30")),
+    return _report(facts, wanted, as_of, start, require_both)
+
+
+def report_of_counts(
+    months: DataFrame,
+    tickers: DataFrame,
+    summary: DataFrame,
+    expected: Sequence[str],
+    as_of: dt.date,
+    start: dt.date = EARLIEST_START,
+    require_both: bool = False,
+) -> DataFrame:
+    """The same report from ``MONTH_COUNTS`` of all months and the table's tickers."""
+    wanted = list(expected)
+    merge = {"first": F.min, "last": F.max}
+    names = [c for c in MONTH_COUNTS.fieldNames() if c != "month"]
+    counts = months.agg(*[merge.get(c, F.sum)(c).alias(c) for c in names])
+    facts = [
+        counts,
+        tickers.where(F.col("ticker").isin(wanted)).agg(_seen(wanted)),
+        summary.agg(F.count(F.lit(1)).alias("s")),
     ]
-    listed = both.select(F.posexplode(F.array(*rows)).alias("i", "r"))
-    return listed.select((F.col("i") + 1).alias("ord"), "r.*")
+    return _report(facts, wanted, as_of, start, require_both)
 
 
 def quality_union(*checks: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from candlework.operators import (
     upsert,
 )
 from candlework.plans import fixtures as fx
-from candlework.plans import pipeline
+from candlework.plans import daily, pipeline
 from candlework.schemas import (
     BAR_COLUMNS,
     ENRICHED,
@@ -38,6 +38,8 @@ RUN_DATE = dt.date(2001, 8, 1)
 WINDOW = (dt.date(1997, 1, 1), dt.date(2000, 1, 1))
 START = dt.date(1995, 1, 1)
 ABSENT = "6-ABSENT"
+# The given tables have few bars a month.
+BUCKETS = 8
 
 QUERIES: dict[str, Query] = {}
 
@@ -274,6 +276,65 @@ def rows_cleaned(spark, sf_dir):
     return spark.createDataFrame([counts.get], "rows_before bigint, rows_after bigint")
 
 
+# Daily runs
+
+
+def _daily(spark, sf_dir) -> tuple[str, DataFrame]:
+    """The tables' folder after a run for each of the landings, and the last report."""
+    raw, root = scratch_path(spark, "raw"), scratch_path(spark, "tables")
+    report = None
+    for i, landed in enumerate(fx.landings(fx.bars_orders(spark, sf_dir))):
+        writers.land_raw(landed, f"{raw}/{i}", RUN_DATE)
+        report = daily.run(spark, raw, root, fx.TICKERS, RUN_DATE, START, BAR_COLUMNS, BUCKETS)
+    return root, report
+
+
+@_query
+def daily_enriched(spark, sf_dir):
+    """The enriched table after two runs, each over its new files alone."""
+    return daily.tables(spark, _daily(spark, sf_dir)[0], BUCKETS)[0].drop("slice")
+
+
+@_query
+def daily_summary(spark, sf_dir):
+    return daily.tables(spark, _daily(spark, sf_dir)[0], BUCKETS)[1].drop("slice")
+
+
+@_query
+def daily_report(spark, sf_dir):
+    """The report of the last run, from counts per month."""
+    return _daily(spark, sf_dir)[1]
+
+
+@_query
+def summary_from_states(spark, sf_dir):
+    """The summary from the merged states of three parts of the bars."""
+    enriched = _enriched(spark, sf_dir)
+    part = F.month("date") % 3
+    states = [summary.summary_state(enriched.where(part == i)) for i in range(3)]
+    merged = summary.merge_states(states[0].unionByName(states[1]).unionByName(states[2]))
+    return summary.summary_of(merged)
+
+
+def _published(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    root = scratch_path(spark, "tables")
+    enriched = stored(_enriched(spark, sf_dir), "enriched")
+    daily.publish_tables(enriched, summary.ticker_summary(enriched), root, BUCKETS)
+    return daily.tables(spark, root, BUCKETS)
+
+
+@_query
+def volume_spikes_published(spark, sf_dir):
+    """Over tables stored by ticker: the join needs no shuffle."""
+    return analytics.volume_spikes(*_published(spark, sf_dir))
+
+
+@_query
+def last_30_published(spark, sf_dir):
+    """Over the table stored by ticker: the window and the aggregate need no shuffle."""
+    return analytics.last_30_trading_days(_published(spark, sf_dir)[0])
+
+
 # Columns
 
 
@@ -467,6 +528,12 @@ def top_losses_per_ticker(spark, sf_dir):
     return analytics.top_losses_per_ticker(_enriched(spark, sf_dir))
 
 
+@_query
+def top_gains_deep(spark, sf_dir):
+    """Lists longer than the rank limit of the map tasks: found in parts of each ticker."""
+    return analytics.top_gains_per_ticker(_enriched_five(spark, sf_dir), 1500)
+
+
 @_query
 def golden_cross_events(spark, sf_dir):
     return features.golden_cross_events(_enriched(spark, sf_dir), unique_days=True)

@@ -136,14 +136,14 @@ _PERFORMANCE = f"""
   GROUP BY ticker ORDER BY cumulative_return_pct DESC, ticker"""
 
 
-def _per_ticker(direction: str) -> str:
+def _per_ticker(direction: str, source: str = _E, n: int = 10) -> str:
     return f"""
-WITH {_E}
+WITH {source}
 SELECT ticker, date, close, daily_return_pct,
        CAST(row_number() OVER (PARTITION BY ticker
                                ORDER BY daily_return_pct {direction}, date) AS INTEGER) AS rank
 FROM enriched WHERE daily_return_pct IS NOT NULL
-QUALIFY rank <= 10"""
+QUALIFY rank <= {n}"""
 
 
 def _extreme(direction: str) -> str:
@@ -268,6 +268,20 @@ SELECT ticker, from_date, to_date, CAST(total_trading_days AS INTEGER) AS total_
        CAST(avg_daily_return_pct AS DECIMAL(10,4)) AS avg_daily_return_pct
 FROM summary"""
 
+# Doubled days count one by one in the features; the table keeps the last, with the first open.
+_DAILY = f"""{_ORDERS},
+landed AS (
+  SELECT *, 0 AS seq FROM bars
+  UNION ALL
+  SELECT * REPLACE (close + 1 AS close), 1 FROM bars
+  WHERE ticker IN ('1-URGENT', '3-MEDIUM') AND date >= DATE '1998-05-01' AND date < DATE '1998-06-01'
+){_features("landed", "date, seq", ", seq").replace("enriched AS", "every_bar AS")},
+summary AS ({_summary_of("every_bar")}),
+enriched AS (
+  SELECT * EXCLUDE (seq) FROM every_bar
+  QUALIFY row_number() OVER (PARTITION BY ticker, date ORDER BY seq DESC) = 1
+)"""
+
 _WINDOW = "date >= DATE '1997-01-01' AND date < DATE '2000-01-01'"
 
 ORACLE: dict[str, str] = {
@@ -338,6 +352,11 @@ UNION ALL SELECT 'ticker_summary.(ticker) unique', count(*)
     "pipeline_report": f"WITH {_S5} {_REPORT}",
     "pipeline_tables": f"WITH {_E5} {_CONFORM}",
     "pipeline_summary": f"WITH {_S5} {_CONFORM_SUMMARY}",
+    # Daily runs
+    "daily_enriched": f"WITH {_DAILY} {_CONFORM}",
+    "daily_summary": f"WITH {_DAILY} {_CONFORM_SUMMARY}",
+    "daily_report": f"WITH {_DAILY} {_REPORT}",
+    "summary_from_states": f"WITH {_S} SELECT * FROM summary",
     "rows_cleaned": f"""WITH {_DIRTY}
 SELECT count(*) AS rows_before,
        count(*) FILTER (date IS NOT NULL AND close IS NOT NULL AND ticker IS NOT NULL) AS rows_after
@@ -416,6 +435,7 @@ SELECT * FROM enriched""",
 SELECT * FROM enriched""",
     "top_gains_per_ticker": _per_ticker("DESC"),
     "top_losses_per_ticker": _per_ticker("ASC"),
+    "top_gains_deep": _per_ticker("DESC", _E5, 1500),
     "golden_cross_events": f"""WITH {_E},
 previous AS (SELECT *, lag(ma_7) OVER w AS short, lag(ma_30) OVER w AS long FROM enriched
              WINDOW w AS (PARTITION BY ticker ORDER BY date))
@@ -506,3 +526,7 @@ WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderpriority = x.ticker)""",
     "check_tally": f"""WITH {_S5}
 SELECT count(*) FILTER (passed) AS n_passed, count(*) AS n_checks FROM ({_REPORT})""",
 }
+
+# The same questions over tables that are stored by ticker.
+ORACLE["volume_spikes_published"] = ORACLE["volume_spikes"]
+ORACLE["last_30_published"] = ORACLE["last_30_trading_days"]

@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import contextvars
 import functools
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# The folder of the present run, below the scratch folder.
+_RUN: contextvars.ContextVar[str | None] = contextvars.ContextVar("run", default=None)
 
 
 @functools.cache
@@ -34,7 +42,46 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the scratch folder."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    return "/".join(filter(None, [scratch_root(spark), _RUN.get(), f"{name}-{uuid.uuid4().hex}"]))
+
+
+@contextlib.contextmanager
+def run_scratch(spark: SparkSession) -> Iterator[str]:
+    """A scratch folder for one run, deleted at its end, also when the run fails.
+
+    Everything that is ``stored`` meanwhile lies there, so results have to be written
+    elsewhere by then. Runs within a run share its folder.
+    """
+    if (outer := _RUN.get()) is not None:
+        yield f"{scratch_root(spark)}/{outer}"
+        return
+    name = f"run-{uuid.uuid4().hex}"
+    token = _RUN.set(name)
+    try:
+        yield f"{scratch_root(spark)}/{name}"
+    finally:
+        _RUN.reset(token)
+        delete_folder(spark, f"{scratch_root(spark)}/{name}")
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of any file system that Spark writes to; none is fine."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def files_below(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """``path, length, modified`` of every file below ``path``, none if there is no such folder.
+
+    Contents are not read.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    try:
+        return files.load(path).select("path", "length", F.col("modificationTime").alias("modified"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, length bigint, modified timestamp")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

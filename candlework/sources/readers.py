@@ -15,6 +15,7 @@ from candlework.operators.clean import date_window
 from candlework.schemas import ENRICHED, SUMMARY
 from candlework.session import stored
 
+Paths = str | list[str]
 # A comma outside quotes: an even number of quotes follows.
 SEPARATOR = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 # The text of a line that does not have as many fields as the schema.
@@ -29,7 +30,7 @@ def require_non_empty(
     A function that reads the source may be given instead of it: a path that does
     not exist then counts as empty.
     """
-    df = source if isinstance(source, DataFrame) else _read_if_there(source)
+    df = source if isinstance(source, DataFrame) else read_if_there(source)
     if df is not None and not df.isEmpty():
         return df
     if on_empty == "skip":
@@ -37,7 +38,8 @@ def require_non_empty(
     raise FileNotFoundError(f"no rows in {name}")
 
 
-def _read_if_there(read: Callable[[], DataFrame]) -> DataFrame | None:
+def read_if_there(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` returns, or None where its path does not exist or holds no file."""
     try:
         return read()
     except FileNotFoundError:
@@ -56,7 +58,7 @@ def _fields(line: Column) -> Column:
     return F.split(line, SEPARATOR)
 
 
-def _headers(spark: SparkSession, path: str) -> DataFrame:
+def _headers(spark: SparkSession, path: Paths) -> DataFrame:
     """``file, names``: the columns named in the first line of each file below ``path``.
 
     One task reads the start of a file, in order, so the lowest id of a file is that
@@ -93,7 +95,7 @@ def _all_fields_named(columns: Sequence[str]) -> Column:
 
 
 def _read_text(
-    spark: SparkSession, path: str, columns: Sequence[str], check_header: bool
+    spark: SparkSession, path: Paths, columns: Sequence[str], check_header: bool
 ) -> DataFrame:
     """The files by position, as ``columns``, with each row's file and place."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, ODD_LINE]])
@@ -118,7 +120,7 @@ def _read_text(
     )
 
 
-def _read_by_name(spark: SparkSession, path: str) -> DataFrame:
+def _read_by_name(spark: SparkSession, path: Paths) -> DataFrame:
     """One scan of all files by position, then each column picked by file header."""
     headers = stored(_headers(spark, path), "headers")
     kinds = headers.groupBy("names").agg(F.min("file").alias("file"))
@@ -167,9 +169,9 @@ def _read_by_name(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_bars_csv(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None
+    spark: SparkSession, path: Paths, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Every ``*.csv`` below ``path`` as text columns, matched by column name.
+    """Every ``*.csv`` below ``path``, or each of a list of them, as text columns, matched by column name.
 
     Give ``columns`` where every file is known to have that header, which is the
     ordinary case: the text is read once, and a file that differs is an error.

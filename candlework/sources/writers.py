@@ -19,6 +19,7 @@ from candlework.functions.columns import landing_key, nan_to_null
 from candlework.operators.clean import date_window, dedup_keep_last
 from candlework.operators.upsert import conform_schema, merge_unique, unique_rows
 from candlework.session import stored
+from candlework.sources.readers import read_if_there
 
 RECORDS_PER_FILE = 5_000_000
 SUMMARY_BUCKETS = 16
@@ -77,7 +78,9 @@ def publish_lake(
 ) -> None:
     """Write raw bars below ``raw`` and both results below ``processed``.
 
-    ``root`` is any folder Spark can write to, such as an object store.
+    ``root`` is any folder Spark can write to, such as an object store. The first write
+    that fails is an error and ends the call: a lake of which a part is missing should not
+    pass for whole.
     """
     land_raw(raw, f"{root}/raw", run_date)
     write_outputs(enriched, summary, f"{root}/processed")
@@ -119,7 +122,7 @@ def upsert_table(
     rows = conform_schema(rows, schema)
     if last_by is None:
         rows = unique_rows(rows, keys)
-    if _exists(spark, path):
+    if read_if_there(lambda: spark.read.parquet(path)) is not None:
         rows = stored(rows.withColumn("slice", slice_of), "incoming")
         # Bounded by the calendar or the number of buckets; reads this column alone.
         touched = [r[0] for r in rows.select("slice").distinct().collect()]
@@ -134,13 +137,3 @@ def upsert_table(
         .partitionBy("slice")
         .parquet(path)
     )
-
-
-def _exists(spark, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-    except Exception as error:  # AnalysisException: no such path, or no file in it
-        if any(c in str(error) for c in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
-            return False
-        raise
-    return True

@@ -124,3 +124,22 @@ def test_bad_text_is_an_error_or_null(spark, bad):
     got = clean.clean_bars(df, strict=False).collect()
     column = next(iter(bad))
     assert got == [] if column in ("date", "close") else got[0][column] is None
+
+
+def test_long_lists_equal_short_ones_and_are_ranked_in_parts(spark):
+    """Beyond the rank limit of the map tasks a ticker is dealt into parts first."""
+    df = spark.range(6000).select(
+        F.when(F.col("id") < 5000, "A").otherwise("B").alias("ticker"),
+        F.date_add(F.lit(dt.date(2000, 1, 1)), F.col("id").cast("int")).alias("date"),
+        F.lit(1.0).alias("close"),
+        (F.pmod(F.xxhash64("id"), F.lit(700)) / 100.0).alias("daily_return_pct"),
+    )
+    every = analytics.top_losses_per_ticker(df, 10_000).collect()
+    assert len(every) == 6000
+    got = analytics.top_losses_per_ticker(df, 1500)
+    assert sorted(got.collect()) == sorted(r for r in every if r["rank"] <= 1500)
+    parts = got._jdf.queryExecution().optimizedPlan().toString()
+    assert parts.count("row_number()") == 2 and "_part" in parts
+    short = analytics.top_losses_per_ticker(df, 5)
+    assert sorted(short.collect()) == sorted(r for r in every if r["rank"] <= 5)
+    assert "_part" not in short._jdf.queryExecution().optimizedPlan().toString()

@@ -6,6 +6,7 @@ from decimal import ROUND_HALF_UP, Decimal
 from fractions import Fraction
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from candlework.functions.numeric import divide, mean, round_to
@@ -207,3 +208,32 @@ def test_golden_cross(spark):
     for options in ({}, {"unique_days": False, "hot_rows": 2}):
         got = golden_cross_events(df, **options).orderBy("date").collect()
         assert [(r.date - DAY).days for r in got] == [2, 5]
+
+
+@pytest.mark.parametrize("operator", [add_features, golden_cross_events])
+def test_days_said_to_be_unique_are_verified(spark, operator):
+    """In the same window: no job runs before the action, and the plan has one shuffle and one sort."""
+    df = frame(spark, [1.0, 2.0, 3.0]).unionByName(frame(spark, [4.0], "B"))
+    df = df.withColumns({"ma_7": F.lit(1.0), "ma_30": F.lit(1.0)})
+    good = operator(df.repartition(3), unique_days=True)
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(ticker") == 1
+    assert good.count() >= 0
+    doubled = operator(df.unionByName(df.where("ticker = 'A' AND seq = 1")), unique_days=True)
+    with pytest.raises(PySparkException, match="several bars of A on 2024-01-02"):
+        doubled.collect()
+    with pytest.raises(ValueError, match="in order of date"):
+        operator(df, ["close"], unique_days=True)
+
+
+def test_missing_dates_are_not_a_doubled_day(spark):
+    df = frame(spark, [1.0, 2.0, 3.0]).withColumn("date", F.when(F.col("seq") > 1, F.col("date")))
+    assert add_features(df, unique_days=True).count() == 3
+
+
+def test_further_columns_of_the_same_windows(spark):
+    df = add_features(
+        frame(spark, [1.0, 2.0, 3.0]), "date", also=lambda w: {"so_far": F.max("close").over(w.rowsBetween(-1, 0))}
+    )
+    assert sorted(r.so_far for r in df.collect()) == [1.0, 2.0, 3.0]
+    assert not [c for c in df.columns if c.startswith("_")]
