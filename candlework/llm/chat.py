@@ -14,6 +14,8 @@ START = "<|im_start|>"
 END = "<|im_end|>"
 #: The role whose texts are trained on.
 TRAINED = "assistant"
+#: Scores beyond it count as it.
+MOST_SCORE = 1e9
 
 TREE = ["tree_id", "node_id", "parent_id", "role", "text", "score"]
 
@@ -34,89 +36,104 @@ def unescaped(text: Column) -> Column:
     return F.array_join(plain, "\\")
 
 
-def reply_paths(nodes: DataFrame) -> DataFrame:
-    """``tree_id``, ``leaf_id`` and ``path`` (node ids from the root) of every leaf.
+def _content(nodes: DataFrame) -> DataFrame:
+    """Each node once: of its repeated rows the smallest by parent, role, text and score, null first."""
+    row = F.min(F.struct("parent_id", "role", "text", "score")).alias("row")
+    return nodes.groupBy("tree_id", "node_id").agg(row).select("tree_id", "node_id", "row.*")
 
-    ``nodes`` has tree_id, node_id and parent_id; a parent that is null or not in the
-    tree makes a root. Each round joins the paths with themselves, which doubles their
-    length. Nodes on a cycle have no root and give no path. Repeated nodes count once.
+
+def reply_steps(nodes: DataFrame) -> DataFrame:
+    """``tree_id, leaf_id, node_id, up``: the nodes on the way from each leaf to its root.
+
+    ``nodes`` has tree_id, node_id and parent_id, each node once; a parent that is null or
+    not in the tree makes a root. ``up`` is 0 at the leaf. Nodes on a cycle have no root,
+    and give no path.
+
+    Joining the links with themselves gives those over 2, 4, 8 ... steps; from the longest
+    to the shortest they then double what is known of each way. So a node is written once
+    for each power of two that it is deep, and a way twice.
     """
-    nodes = nodes.select("tree_id", "node_id", "parent_id").dropDuplicates(["tree_id", "node_id"])
-    known = nodes.select("tree_id", F.col("node_id").alias("parent_id"), F.lit(True).alias("known"))
-    paths = stored(
-        nodes.join(known.dropDuplicates(["tree_id", "parent_id"]), ["tree_id", "parent_id"], "left").select(
-            "tree_id", "node_id", F.when(F.col("known"), F.col("parent_id")).alias("above"),
-            F.array("node_id").alias("path"),
-        ),
-        "paths",
-    )
-    inner = paths.where("above IS NOT NULL").select("tree_id", F.col("above").alias("node_id")).distinct()
-    leaves = paths.select("tree_id", "node_id").join(inner, ["tree_id", "node_id"], "left_anti")
-    open_before, open_now = None, paths.where("above IS NOT NULL").count()
-    while open_now and open_now != open_before:
-        upper = paths.select("tree_id", F.col("node_id").alias("above"), F.col("above").alias("next"),
-                             F.col("path").alias("upper"))
-        # Whole paths are carried over; only those that still have a node above are joined.
-        longer = paths.where("above IS NOT NULL").join(upper, ["tree_id", "above"], "left").select(
-            "tree_id", "node_id", F.col("next").alias("above"),
-            F.concat(F.coalesce("upper", F.array().cast(paths.schema["path"].dataType)), "path").alias("path"),
-        )
-        paths = stored(longer.unionByName(paths.where("above IS NULL")), "paths")
-        open_before, open_now = open_now, paths.where("above IS NOT NULL").count()
-    return (
-        paths.where("above IS NULL").join(leaves, ["tree_id", "node_id"]).select("tree_id", F.col("node_id").alias("leaf_id"), "path")
+    there = nodes.select("tree_id", F.col("node_id").alias("parent_id"))
+    links = stored(
+        nodes.join(there, ["tree_id", "parent_id"]).select("tree_id", "node_id", F.col("parent_id").alias("above")), "links"
     )
+    inner = links.select("tree_id", F.col("above").alias("node_id")).distinct()
+    leaves = nodes.select("tree_id", "node_id").join(inner, ["tree_id", "node_id"], "left_anti")
+    spans, open_now = [], links.count()
+    while open_now:
+        spans.append(links)
+        further = links.select("tree_id", F.col("node_id").alias("above"), F.col("above").alias("further"))
+        links = stored(
+            links.join(further, ["tree_id", "above"]).select("tree_id", "node_id", F.col("further").alias("above")), "links"
+        )
+        open_before, open_now = open_now, links.count()
+        if open_now == open_before:
+            # Each further step has as many: what is left leads into cycles.
+            leaves = leaves.join(links, ["tree_id", "node_id"], "left_anti")
+            break
+    steps = leaves.select("tree_id", F.col("node_id").alias("leaf_id"), "node_id", F.lit(0).alias("up"))
+    for k in reversed(range(len(spans))):
+        steps = stored(steps, "steps")
+        further = steps.join(spans[k], ["tree_id", "node_id"]).select(
+            "tree_id", "leaf_id", F.col("above").alias("node_id"), (F.col("up") + (1 << k)).alias("up")
+        )
+        steps = steps.unionByName(further)
+    return steps
+
+
+def _millionths(score: Column) -> Column:
+    """Whole, so that a mean does not depend on the order of its sum; null and NaN are 0."""
+    bounded = F.greatest(F.least(score, F.lit(MOST_SCORE)), F.lit(-MOST_SCORE))
+    return F.coalesce(F.when(score.isNotNull() & ~F.isnan(score), F.rint(bounded * 1e6)).cast("long"), F.lit(0).cast("long"))
 
 
 def format_trees(nodes: DataFrame, keep_branches: int | None = None) -> DataFrame:
     """One conversation per root-to-leaf path of each reply tree.
 
-    ``nodes`` has the columns in TREE; others are left out. Branches of a tree are ranked
-    by their mean score (null: 0), ties by leaf id; ``keep_branches`` keeps the best.
-    Returns tree_id, leaf_id, branch (from 1), n_turns, ``formatted`` and ``loss``, the
-    (start, length) in code points of each text under the loss mask. Null roles and texts
-    are empty. A tree without rows gives none.
+    ``nodes`` has the columns in TREE; others are left out. A node counts once: of
+    repeated ones the smallest row by parent, role, text and score stays, null first.
+    Branches of a tree are ranked by their mean score in millionths (null and NaN: 0, at
+    most ``MOST_SCORE`` either way), ties by leaf id; ``keep_branches`` keeps the best.
+    Returns tree_id, leaf_id, branch (from 1), score, n_turns, ``formatted`` and ``loss``,
+    the (start, length) in code points of each text under the loss mask. Null roles and
+    texts are empty. Rows without a tree or node id are left out; no rows give none.
     """
-    nodes = nodes.select(TREE)
-    steps = reply_paths(nodes).select("tree_id", "leaf_id", F.posexplode("path").alias("place", "node_id"))
-    content = nodes.dropDuplicates(["tree_id", "node_id"]).select(
+    content = stored(_content(nodes.select(TREE)), "content")
+    steps = stored(reply_steps(content.select("tree_id", "node_id", "parent_id")), "ways")
+    # Ranked without the texts, which only the branches that are kept need.
+    scores = content.select("tree_id", "node_id", _millionths(F.col("score").cast("double")).alias("score"))
+    ranked = (
+        steps.join(scores, ["tree_id", "node_id"])
+        .groupBy("tree_id", "leaf_id")
+        .agg((F.sum("score") / F.count(F.lit(1)) / 1e6).alias("score"))
+        .withColumn("branch", F.row_number().over(Window.partitionBy("tree_id").orderBy(F.desc("score"), "leaf_id")))
+    )
+    if keep_branches is not None:
+        ranked = ranked.where(F.col("branch") <= keep_branches)
+        steps = steps.join(ranked.select("tree_id", "leaf_id"), ["tree_id", "leaf_id"], "left_semi")
+    turns = content.select(
         "tree_id",
         "node_id",
-        F.coalesce("score", F.lit(0.0)).alias("score"),
         (F.coalesce("role", F.lit("")) == TRAINED).alias("trained"),
         F.concat(F.lit(START), escaped_role(F.coalesce("role", F.lit(""))), F.lit("\n")).alias("head"),
-        escaped(F.coalesce("text", F.lit(""))).alias("body"),
-    )
-    turns = F.array_sort(F.collect_list(F.struct("place", "head", "body", "trained")))
-    branches = (
-        steps.join(content, ["tree_id", "node_id"])
-        .groupBy("tree_id", "leaf_id")
-        .agg(turns.alias("turns"), F.avg("score").alias("score"))
+        F.concat(escaped(F.coalesce("text", F.lit(""))), F.lit(END + "\n")).alias("body"),
     )
-    ranked = branches.withColumn(
-        "branch", F.row_number().over(Window.partitionBy("tree_id").orderBy(F.desc("score"), "leaf_id"))
+    before = Window.partitionBy("tree_id", "leaf_id").orderBy(F.desc("up")).rowsBetween(Window.unboundedPreceding, -1)
+    size = F.length("head") + F.length("body")
+    placed = steps.join(turns, ["tree_id", "node_id"]).withColumn("at", F.coalesce(F.sum(size).over(before), F.lit(0)))
+    own = F.struct(
+        (F.col("at") + F.length("head")).cast("int").alias("start"), (F.length("body") - len(END) - 1).alias("length")
     )
-    if keep_branches is not None:
-        ranked = ranked.where(F.col("branch") <= keep_branches)
-    tail = END + "\n"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("loss"))
-
-    def step(a, t):
-        begin = a["at"] + F.length(t["head"])
-        own = F.struct(begin.alias("start"), F.length(t["body"]).alias("length"))
-        return F.struct(
-            (begin + F.length(t["body"]) + len(tail)).alias("at"),
-            F.when(t["trained"], F.concat(a["loss"], F.array(own))).otherwise(a["loss"]).alias("loss"),
-        )
-
-    return ranked.select(
+    turn = F.struct("at", F.concat("head", "body").alias("said"), F.when(F.col("trained"), own).alias("loss"))
+    formatted = placed.groupBy("tree_id", "leaf_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    return formatted.join(ranked, ["tree_id", "leaf_id"]).select(
         "tree_id",
         "leaf_id",
         "branch",
         "score",
         F.size("turns").cast("long").alias("n_turns"),
-        F.array_join(F.transform("turns", lambda t: F.concat(t["head"], t["body"], F.lit(tail))), "").alias("formatted"),
-        F.aggregate("turns", start, step, lambda a: a["loss"]).alias("loss"),
+        F.array_join("turns.said", "").alias("formatted"),
+        F.array_compact("turns.loss").alias("loss"),
     )
 
 

@@ -11,6 +11,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from candlework.llm import (
     catalog, chat, classifier, decontaminate, graph, html_text, jaccard, langid, pieces, pii, quality_rules, sharding,
@@ -196,9 +197,7 @@ def test_chat(spark):
     nodes = [("t", 1, None, "user", said, None), ("t", 2, 1, "assistant", said, 0.1), ("t", 3, 1, "assistant", None, 0.9),
              ("t", 4, 3, None, "x", 0.9), ("c", 1, 2, "user", "a", None), ("c", 2, 1, "user", "b", None)]
     df = spark.createDataFrame(nodes, "tree_id string, node_id int, parent_id int, role string, text string, score double")
-    got = chat.format_trees(df.unionByName(df.limit(1))).withColumns(
-        {"turns": chat.read_turns(pytest.importorskip("pyspark.sql.functions").col("formatted"))}
-    )
+    got = chat.format_trees(df.unionByName(df.limit(1))).withColumn("turns", chat.read_turns(F.col("formatted")))
     by_leaf = {r["leaf_id"]: r for r in got.collect()}
     assert sorted(by_leaf) == [2, 4]  # the cycle has no root
     assert by_leaf[4]["branch"] == 1 and by_leaf[2]["branch"] == 2
@@ -209,6 +208,75 @@ def test_chat(spark):
     assert chat.format_trees(deep).first()["n_turns"] == 39
 
 
+def test_forks_cycles_and_repeated_nodes(spark):
+    """Random forests against a walk in Python; results do not depend on the partitioning."""
+    rng = random.Random(8)
+    nodes = []
+    for t in range(12):
+        n = rng.randint(1, 40)
+        for i in range(n):
+            parent = rng.choice([None, -1, *range(i)]) if i else None
+            nodes.append((f"t{t}", i, parent, rng.choice(["user", "assistant", None]), f"x{i}", rng.choice([None, 0.1, 0.25, float("nan")])))
+        # A cycle with a leaf below it.
+        nodes += [(f"t{t}", 100, 101, "user", "c", 1.0), (f"t{t}", 101, 100, "user", "c", 1.0), (f"t{t}", 102, 101, "user", "c", 1.0)]
+    # Repeated with other content: the smallest row counts.
+    nodes += [("t0", 0, None, "user", "zz", 0.9), ("t0", 0, None, "user", "a", 0.9), ("t1", 0, None, None, None, None)]
+    rng.shuffle(nodes)
+    least = {}
+    for t, i, *row in sorted(nodes, key=lambda r: [(x is not None, str(x)) for x in r]):
+        least.setdefault((t, i), row)
+    expected = {}
+    for t, i in least:
+        if any(k[0] == t and r[0] == i for k, r in least.items()):
+            continue
+        path, at, seen = [], i, set()
+        while at is not None and (t, at) in least and at not in seen:
+            seen.add(at)
+            path.append(at)
+            at = least[t, at][0]
+        if at in seen:
+            continue
+        score = sum(round(1e6 * s) for p in path if (s := least[t, p][3]) is not None and s == s) / len(path) / 1e6
+        expected[t, i] = (score, [(least[t, p][1] or "", least[t, p][2] or "") for p in reversed(path)])
+    schema = "tree_id string, node_id int, parent_id int, role string, text string, score double, formatted int, loss int"
+    df = spark.createDataFrame([(*r, 0, 0) for r in nodes], schema)
+    results = []
+    for parts in (1, 3, 7, 16):
+        got = chat.format_trees(df.repartition(parts)).withColumn("turns", chat.read_turns(F.col("formatted"))).collect()
+        results.append(sorted((r["tree_id"], r["leaf_id"], r["branch"], r["score"], r["formatted"], str(r["loss"])) for r in got))
+        assert {(r["tree_id"], r["leaf_id"]): (r["score"], [tuple(t) for t in r["turns"]]) for r in got} == expected
+        order = collections.defaultdict(list)
+        for r in sorted(got, key=lambda r: r["branch"]):
+            order[r["tree_id"]].append((-r["score"], r["leaf_id"]))
+        assert all(x == sorted(x) for x in order.values())
+        for r in got:
+            marked = [r["formatted"][s["start"] : s["start"] + s["length"]] for s in r["loss"]]
+            assert marked == [text for role, text in expected[r["tree_id"], r["leaf_id"]][1] if role == "assistant"]
+    assert all(r == results[0] for r in results)
+    best = chat.format_trees(df, keep_branches=1)
+    assert sorted((r["tree_id"], r["leaf_id"]) for r in best.collect()) == sorted(r[:2] for r in results[0] if r[2] == 1)
+
+
+def test_a_long_conversation_is_written_in_proportion(spark):
+    """Nodes are written once for each power of two of their depth, and their ways twice."""
+    n = 20_000
+    rows = spark.range(n).select(
+        F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("t"), "id").alias("text"),
+    )
+    written = []
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(chat, "stored", lambda df, name, store=chat.stored: written.append(store(df, name)) or written[-1])
+        steps = chat.reply_steps(chat.conversation_nodes(rows))
+        assert steps.count() == n
+        assert sum(w.count() for w in written) < n * 18
+    got = chat.format_trees(chat.conversation_nodes(rows)).first()
+    assert got["n_turns"] == n and len(got["loss"]) == n // 2
+    assert got["formatted"].startswith("<|im_start|>user\nt0<|im_end|>\n<|im_start|>assistant\nt1<|im_end|>\n")
+    last = got["loss"][-1]
+    assert got["formatted"][last["start"] : last["start"] + last["length"]] == f"t{n - 1}"
+
+
 def test_language(spark, sf_dir, awkward, empty):
     got = catalog.QUERIES["op8_language_id"](spark, sf_dir)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
