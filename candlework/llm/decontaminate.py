@@ -4,7 +4,8 @@ A window of an item is a set of shingles, all of which a document must contain a
 right distances. As nothing may be missing, one shingle of each window is a sufficient
 prefix: its rarest over all documents. Documents are joined on it, the place of the
 shingle in the window bounds where the window may begin and end, and the words there
-are compared exactly.
+are compared exactly. A first pass counts the shingles; only then are the places of
+those of the prefix written down, with the words that a window there can have.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlework.llm import filters
-from candlework.llm.text import ALPHANUMERIC, BLOCK_BYTES, blocks, window_hashes, words
+from candlework.llm.text import ALPHANUMERIC, BLOCK_BYTES, Words, blocks, window_hashes, words
 from candlework.session import stored
 
 WINDOW = 10
@@ -54,23 +55,45 @@ def _windows(window: int, shingle: int):
     return run
 
 
-def _hits(bits, sizes: list[int], window: int, keep: list[str], text: str):
+def _runs(w: Words, h: np.ndarray, bits, size: int):
+    """The runs of ``size`` words that may be in the filter: their hashes, first words and documents."""
+    runs = window_hashes(h, size)
+    at = filters.may_contain(bits, runs)
+    doc = np.searchsorted(w.first, at, side="right") - 1
+    inside = at + size <= w.first[doc + 1]
+    return runs.view(np.int64)[at[inside]], at[inside], doc[inside]
+
+
+def _frequencies(bits, sizes: list[int], text: str):
+    """How often each shingle of the windows occurs in a block."""
+
+    def run(batches):
+        for batch in batches:
+            column = batch.column(text)
+            for a, b in blocks(column, BLOCK_BYTES):
+                w = words(column.slice(a, b - a), ALPHANUMERIC)
+                h = w.hashes()
+                every = [_runs(w, h, bits.value, size)[0] for size in sizes]
+                found, n = np.unique(np.concatenate([np.zeros(0, np.int64), *every]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n, pa.int64())], names=["token", "n"])
+
+    return run
+
+
+def _hits(shared, keep: list[str], text: str):
+    """The places of prefix shingles, each with the words that a window around it may have."""
+
     def of_block(column):
+        bits, reach = shared.value
         w = words(column, ALPHANUMERIC)
         h = w.hashes()
         out = [[] for _ in range(len(column))]
-        for size in sizes:
-            runs = window_hashes(h, size)
-            at = filters.may_contain(bits.value, runs)
-            doc = np.searchsorted(w.first, at, side="right") - 1
-            inside = at + size <= w.first[doc + 1]
-            for p, d in zip(at[inside].tolist(), doc[inside].tolist(), strict=True):
+        for size, before, after in reach:
+            for token, p, d in zip(*(x.tolist() for x in _runs(w, h, bits, size)), strict=True):
                 first = int(w.first[d])
-                low, high = max(first, p - window + size), min(int(w.first[d + 1]), p + window)
+                low, high = max(first, p - before), min(int(w.first[d + 1]), p + after)
                 context = b" ".join(w.text(a, b) for a, b in zip(w.start[low:high], w.end[low:high], strict=True))
-                out[d].append(
-                    {"at": p - first, "low": low - first, "token": int(runs[p].view(np.int64)), "context": context.decode()}
-                )
+                out[d].append({"at": p - first, "low": low - first, "token": token, "context": context.decode()})
         return w.counts(), out
 
     def run(batches):
@@ -114,29 +137,39 @@ def find_passages(
     shingles = windows.select("window", "words", "n", F.explode("shingles").alias("s")).select(
         "window", "words", "n", "s.*"
     )
-    bits = spark.sparkContext.broadcast(filters.hash_filter(shingles, "token"))
+    share = spark.sparkContext.broadcast
     sizes = sorted(r["size"] for r in shingles.select("size").distinct().collect())
-    # The row number keeps repeated ids apart; it is fixed by being written.
-    rows = stored(
-        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .withColumn("row", F.monotonically_increasing_id())
-        .mapInArrow(_hits(bits, sizes, window, ["doc_id", "row"], "text"),
-                    f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, row bigint, {_HITS}"),
-        "hits",
-    )
-    hits = rows.select("row", F.explode("hits").alias("h")).select("row", "h.*")
-    frequency = hits.groupBy("token").agg(F.count("*").alias("rows"))
-    prefix = (
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    counted = texts.select("text").mapInArrow(
+        _frequencies(share(filters.hash_filter(shingles, "token")), sizes, "text"), "token bigint, n bigint"
+    )
+    frequency = counted.groupBy("token").agg(F.sum("n").alias("rows"))
+    # The order by rarity is known before any place is written.
+    prefix = stored(
         shingles.join(frequency, "token", "left")
         .groupBy("window")
         .agg(
-            F.min(F.struct(F.coalesce("rows", F.lit(0)).alias("rows"), "token", "offset")).alias("p"),
+            F.min(F.struct(F.coalesce("rows", F.lit(0)).alias("rows"), "token", "offset", "size")).alias("p"),
             F.any_value("words").alias("words"),
             F.any_value("n").alias("n"),
         )
         .where("p.rows > 0")
-        .select("window", "words", "n", F.col("p.token").alias("token"), F.col("p.offset").alias("offset"))
-    )
+        .select("window", "words", "n", F.col("p.token").alias("token"), F.col("p.offset").alias("offset"),
+                F.col("p.size").alias("size")),
+        "prefix",
+    )
+    # For each size of shingles, the words that a window has before and from its place on.
+    bounds = prefix.groupBy("size").agg(F.max("offset").alias("before"), F.max(F.col("n") - F.col("offset")).alias("after"))
+    reach = sorted((r["size"], r["before"], r["after"]) for r in bounds.collect())
+    # The row number keeps repeated ids apart; it is fixed by being written.
+    rows = stored(
+        texts.withColumn("row", F.monotonically_increasing_id())
+        .mapInArrow(_hits(share((filters.hash_filter(prefix, "token"), reach)), ["doc_id", "row"], "text"),
+                    f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, row bigint, {_HITS}"),
+        "hits",
+    )
+    hits = rows.select("row", F.explode("hits").alias("h")).select("row", "h.*")
+    prefix = prefix.drop("size")
     begin = F.col("at") - F.col("offset")
     there = F.slice(F.split("context", " "), F.greatest(begin - F.col("low"), F.lit(0)) + 1, F.col("n"))
     found = (
