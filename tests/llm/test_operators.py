@@ -58,6 +58,23 @@ def test_decontamination(spark, table, awkward, empty):
     assert decontaminate.find_passages(empty, none).count() == 0
 
 
+def test_only_places_of_prefix_shingles_are_written(spark):
+    """An item of one frequent word costs a word a place; long items only the places of their rarest shingles."""
+    text = " ".join(["the"] * 400 + ["a b c d e rare f g h i j k"] + ["the"] * 400)
+    docs = [(i, text) for i in range(30)] + [(99, "c d e rare f g h i j k the the")]
+    items = [(1, "the"), (2, "a b c d e rare f g h i j k"), (3, "not there at all in any of the documents here")]
+    written = []
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(decontaminate, "stored", lambda df, name, s=decontaminate.stored: written.append((name, s(df, name))) or written[-1][1])
+        got = decontaminate.find_passages(
+            spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+        )
+        digest = rows(decontaminate.decontamination_digest(got))
+    assert collections.Counter(digest) == collections.Counter(brute.passages(docs, items))
+    hits = dict(written)["hits"].select(F.explode("hits").alias("h")).select("h.*")
+    assert hits.agg(F.sum(F.length("context"))).first()[0] < 4 * 802 * 30 + 31 * 200
+
+
 def test_sharding(spark, table, awkward, empty):
     for docs in (table("documents"), awkward):
         got = sharding.assign_shards(docs).collect()
@@ -306,7 +323,7 @@ def test_viterbi_is_the_best_path():
         assert abs(value - best.max()) < 1e-2
 
 
-def test_personal_data(spark, table, awkward):
+def test_personal_data(spark, table, awkward, empty):
     luhn = lambda d: sum((int(x) * 2 - 9 * (x > "4")) if i % 2 else int(x) for i, x in enumerate(reversed(d))) % 10 == 0
     kinds = {
         "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -333,6 +350,19 @@ def test_personal_data(spark, table, awkward):
         assert base(text) == ",".join(f"{k}:{a}:{b}" for k, a, b, _ in pii.find(text) if k in pii.BASE)
     assert pii.find("IBAN DE89 3704 0044 0532 0130 00")[-1][0] == "iban"
     assert not [s for s in pii.find("IBAN DE88 3704 0044 0532 0130 00") if s[0] == "iban"]
+    # Words nearby decide, either way, and are seen in the score.
+    kinds_of = lambda text: {k: s for k, _, _, s in pii.find(text)}
+    iban, ssn = "DE89 3704 0044 0532 0130 00", "123-45-6789"
+    assert kinds_of(f"Pay to {iban} now")["iban"] == 0.6 and kinds_of(f"my bank says {iban}")["iban"] == 0.8
+    assert "iban" not in kinds_of(f"a sample is {iban} there") and "iban" in kinds_of(f"a sample account {iban}")
+    assert "ssn" not in kinds_of(f"part {ssn} fits") and kinds_of(f"social security {ssn}")["ssn"] == 0.6
+    assert "ssn" not in kinds_of(f"order {ssn}, see social " + "x" * pii.REACH)
+    assert kinds_of("version 1.2.3.4")["ip"] == 0.3 and kinds_of("server 1.2.3.4")["ip"] == 0.7
+    texts = spark.createDataFrame([(1, "version 1.2.3.4 on server 1.2.3.4" + " " * 50 + "at 5.6.7.8")], "doc_id int, text string")
+    assert pii.redact_pii(texts, least=0.4).first()["text"].count("<IP>") == 3 - sum(s < 0.4 for *_, s in pii.find(texts.first()["text"]))
+    digest = pii.pii_digest(pii.pii_spans(texts)).first()
+    assert len(digest["scores"].split(",")) == len(digest["spans"].split(",")) == digest["n_ip"]
+    assert pii.pii_spans(empty).count() == pii.redact_pii(empty).count() == 0
     assert pii.redacted("é a@b.cd!", pii.find("é a@b.cd!")) == "é <EMAIL>!"
     assert pii.redact_pii(awkward).count() == 12 and pii.pii_spans(awkward).count() == 12
 
