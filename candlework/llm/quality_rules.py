@@ -25,13 +25,32 @@ SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 
 
+# Characters are replaced one after the other, which goes over bytes; translate() looks up
+# each character of the text in a table.
+
+
+def _replaced(text: Column, characters: str, by: str) -> Column:
+    for c in characters:
+        text = F.replace(text, F.lit(c), F.lit(by))
+    return text
+
+
+def _one_space(text: Column) -> Column:
+    """``text`` with a space for any white space."""
+    return _replaced(text, SPACES[1:], " ")
+
+
 def words_of(text: Column) -> Column:
     """The words [^\\x20\\x09-\\x0D]+ of a text, in order."""
-    return F.array_remove(F.split(F.translate(text, SPACES, " " * len(SPACES)), " "), "")
+    return F.array_remove(F.split(_one_space(text), " "), "")
+
+
+def _has_word(line: Column) -> Column:
+    return F.btrim(line, F.lit(SPACES)) != ""
 
 
 def _lines(text: Column) -> Column:
-    return F.filter(F.split(text, "\n"), lambda x: F.translate(x, SPACES, "") != "")
+    return F.filter(F.split(text, "\n"), _has_word)
 
 
 def line_key(line: Column) -> Column:
@@ -85,13 +104,13 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     A null text has no words and no lines.
     """
     t = F.coalesce(F.col(text), F.lit(""))
-    lines = _lines(t)
+    dup_lines = _bound(_lines(t), lambda lines: F.size(lines) - F.size(F.array_distinct(lines)))
     return (
         docs.withColumn("__words", words_of(t))
         .withColumn("n_words", F.size("__words").cast("long"))
-        .withColumn("word_chars", F.length(F.translate(t, SPACES, "")).cast("long"))
-        .withColumn("n_symbols", (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long"))
-        .withColumn("n_dup_lines", (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"))
+        .withColumn("word_chars", F.length(_replaced(t, SPACES, "")).cast("long"))
+        .withColumn("n_symbols", (F.length(t) - F.length(_replaced(t, SYMBOLS, ""))).cast("long"))
+        .withColumn("n_dup_lines", dup_lines.cast("long"))
         .withColumn("n_repeat_words", _repeated_words(F.col("__words")).cast("long"))
         .withColumn(
             "base_failed",
@@ -139,9 +158,22 @@ def _host_lines(common: DataFrame) -> DataFrame:
     return common.groupBy("host").agg(F.collect_set("line").alias("common"))
 
 
-def _lost(common: Column) -> Column:
-    text = F.coalesce("text", F.lit(""))
-    return F.filter(_lines(text), lambda x: F.array_contains(common, line_key(x)))
+def _without(common: Column) -> Column:
+    """``lost``, the words in common lines, and ``rest``, the text without them; null for a null text."""
+
+    def flagged(line):
+        return F.struct(
+            line.alias("line"), (_has_word(line) & F.array_contains(common, line_key(line))).alias("common")
+        )
+
+    def parts(lines):
+        words = F.aggregate(
+            F.filter(lines, lambda x: x["common"]), F.lit(0), lambda n, x: n + F.size(words_of(x["line"]))
+        )
+        rest = F.transform(F.filter(lines, lambda x: ~x["common"]), lambda x: x["line"])
+        return F.struct(words.cast("long").alias("lost"), F.array_join(rest, "\n").alias("rest"))
+
+    return _bound(F.transform(F.split("text", "\n"), flagged), parts)
 
 
 def judged(docs: DataFrame, host: str = "source", max_lost: float = MAX_LOST, **limits) -> DataFrame:
@@ -161,21 +193,12 @@ def judged(docs: DataFrame, host: str = "source", max_lost: float = MAX_LOST, **
     measured = measures(with_common)
     known = F.coalesce("__common", F.array().cast("array<bigint>"))
     has = F.size(known) > 0
-    lost = F.aggregate(
-        F.transform(_lost(known), lambda x: F.size(words_of(x))), F.lit(0), lambda a, n: a + n
-    ).cast("long")
-    rest = F.array_join(
-        F.filter(
-            F.split("text", "\n"),
-            lambda x: ~((F.translate(x, SPACES, "") != "") & F.array_contains(known, line_key(x))),
-        ),
-        "\n",
-    )
+    cut = measured.withColumn("__cut", F.when(has, _without(known)))
     return (
-        measured.withColumn("n_common_words", F.when(has, lost).otherwise(F.lit(0).cast("long")))
-        .withColumn("clean_text", F.when(has, rest).otherwise(F.col("text")))
+        cut.withColumn("n_common_words", F.coalesce("__cut.lost", F.lit(0).cast("long")))
+        .withColumn("clean_text", F.when(has, F.col("__cut.rest")).otherwise(F.col("text")))
         .withColumn("kept", ~F.col("base_failed") & (F.col("n_common_words") <= max_lost * F.col("n_words")))
-        .drop("__common")
+        .drop("__common", "__cut")
     )
 
 
