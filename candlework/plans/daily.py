@@ -78,6 +78,8 @@ RAW_FILES = T.StructType(
 MONTH, BUCKET = T.DateType(), T.IntegerType()
 # The parts by ticker that each slice is stored in: of a month, some 200 MB each is right.
 BUCKETS = 32
+# Runs whose lists of files are kept apart; beyond, they are written into one.
+LEDGER_SLICES = 100
 
 
 def run(
@@ -188,7 +190,7 @@ def _advance(base: Releases, new: DataFrame, columns: Sequence[str] | None, buck
     slices = [r[0] for r in arrived.select(summary_slice()).distinct().collect()]
     _write_state(run, changed, bars, slices)
     _write_summary(run, arrived, slices, buckets)
-    run.write(new, "raw_files", F.lit(run.number))
+    _write_ledger(run, new)
     return run.publish()
 
 
@@ -313,3 +315,11 @@ def _write_summary(run: Run, arrived: DataFrame, slices: list[int], buckets: int
     before = run.base.read("ticker_summary", SUMMARY, BUCKET, slices).drop("slice")
     merged = merge_unique(before, conform_schema(summary_of(state), SUMMARY), SUMMARY_KEYS, SUMMARY_UPDATES)
     _write_table(run, merged, "ticker_summary", buckets)
+
+
+def _write_ledger(run: Run, new: DataFrame) -> None:
+    if len(run.base.slices_of("raw_files")) >= LEDGER_SLICES:
+        before = run.base.read("raw_files", RAW_FILES, T.LongType()).drop("slice")
+        run.clear("raw_files")
+        new = new.unionByName(before)
+    run.write(new, "raw_files", F.lit(run.number))

@@ -20,6 +20,7 @@ from candlework.schemas import (
     SUMMARY_KEYS,
     SUMMARY_UPDATES,
 )
+from candlework.session import run_scratch
 from candlework.sources.readers import read_bars_csv, read_summary_csv, read_table
 from candlework.sources.writers import (
     enriched_slice,
@@ -96,6 +97,10 @@ def run(
     columns: Sequence[str] | None = None,
     observation: Observation | None = None,
 ) -> DataFrame:
-    """Transform, load and check; returns the quality report."""
-    load(*transform(spark, raw_path, root, columns, observation), root)
+    """Transform, load and check; returns the quality report.
+
+    Every run works on all raw files; see ``daily`` for runs over the new ones alone.
+    """
+    with run_scratch(spark):
+        load(*transform(spark, raw_path, root, columns, observation), root)
     return quality_report(*tables(spark, root), expected, as_of, start)

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from candlework.session import delete_folder, files_below
 
 RECORDS_PER_FILE = 5_000_000
-_RELEASE = "table string, slice string, run long"
+_RELEASE = "table string, slice string, run long, buckets int"
 
 
 def _quoted(path: str) -> str:
@@ -57,9 +57,12 @@ class Releases:
         self.number = max(_numbers(spark, root), default=0)
         #: (table, slice) -> run
         self.slices: dict[tuple[str, str], int] = {}
+        #: table -> number of buckets
+        self.buckets: dict[str, int] = {}
         if self.number:
             rows = spark.read.schema(_RELEASE).json(self._release(self.number)).collect()
             self.slices = {(r["table"], r["slice"]): r["run"] for r in rows}
+            self.buckets = {r["table"]: r["buckets"] for r in rows if r["buckets"]}
 
     def _release(self, number: int) -> str:
         return f"{self.root}/releases/release={number}"
@@ -87,8 +90,10 @@ class Releases:
     def table(self, table: str, schema: T.StructType, kind: T.DataType, key: str, buckets: int) -> DataFrame:
         """The table as ``read`` returns it, written in ``buckets`` by ``key``, known to be so.
 
-        It is named in the session's catalog, once for each release.
+        It is named in the session's catalog, once for each release. Another number of
+        buckets than it was written with is an error: rows would be missed.
         """
+        self.check_buckets(table, buckets)
         place = hashlib.md5(f"{self.root}/{table}".encode()).hexdigest()
         name = f"released_{place}_{self.number}"
         if not self.spark.catalog.tableExists(name):
@@ -107,6 +112,10 @@ class Releases:
                 self.spark.sql(f"ALTER TABLE {name} ADD {' '.join(parts)}")
         return self.spark.read.table(name)
 
+    def check_buckets(self, table: str, buckets: int) -> None:
+        if self.slices_of(table) and self.buckets.get(table, 0) != buckets:
+            raise ValueError(f"{table} is stored in {self.buckets.get(table, 0)} buckets, not {buckets}")
+
     def next_run(self) -> Run:
         return Run(self)
 
@@ -118,11 +127,12 @@ class Run:
         self.base, self.number = base, base.number + 1
         self.spark, self.root = base.spark, base.root
         #: (table, slice) -> run, of all that the release is going to hold
-        self.slices = dict(base.slices)
+        self.slices, self.buckets = dict(base.slices), dict(base.buckets)
 
     def clear(self, table: str) -> None:
         """Leaves out what earlier releases hold of the table."""
         self.slices = {(t, s): run for (t, s), run in self.slices.items() if t != table}
+        self.buckets.pop(table, None)
 
     def write(
         self, df: DataFrame, table: str, slice_of: Column, *order: str, key: str | None = None, buckets: int = 0
@@ -132,6 +142,7 @@ class Run:
         The slices of ``df`` have to be whole: they replace those of earlier releases.
         With a ``key`` they are bucketed by it.
         """
+        self._as_released().check_buckets(table, buckets)
         path = f"{self.root}/{table}/run={self.number}"
         rows = df.withColumn("slice", slice_of)
         if key is None:
@@ -156,6 +167,8 @@ class Run:
             self.spark.sql(f"DROP TABLE {name}")
         found = _folders(self.spark, path)
         self.slices.update({(table, s): self.number for s in found})
+        if buckets:
+            self.buckets[table] = buckets
         return found
 
     def read(self, table: str, schema: T.StructType, kind: T.DataType, only: Iterable[Any] | None = None) -> DataFrame:
@@ -164,12 +177,13 @@ class Run:
 
     def _as_released(self) -> Releases:
         seen = object.__new__(Releases)
-        seen.spark, seen.root, seen.number, seen.slices = self.spark, self.root, self.number, dict(self.slices)
+        seen.spark, seen.root, seen.number = self.spark, self.root, self.number
+        seen.slices, seen.buckets = dict(self.slices), dict(self.buckets)
         return seen
 
     def publish(self) -> Releases:
         """Makes all that was written the latest release, in one step."""
-        rows = [(t, s, run) for (t, s), run in sorted(self.slices.items())]
+        rows = [(t, s, run, self.buckets.get(t, 0)) for (t, s), run in sorted(self.slices.items())]
         release = self.spark.createDataFrame(rows, _RELEASE).coalesce(1)
         release.write.mode("error").json(self.base._release(self.number))
         return self._as_released()

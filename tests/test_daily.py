@@ -74,6 +74,9 @@ def test_runs_over_new_files_equal_runs_over_all_files(spark, bars, monkeypatch)
         assert report == expected == quality_report(*ours, fx.TICKERS, RUN, START).collect()
         held.append((ours[0], theirs[0].count()))
 
+    # The lists of files are written into one now and then.
+    monkeypatch.setattr(daily, "LEDGER_SLICES", 3)
+
     missing = "ticker = '2-HIGH' AND dayofyear(date) % 50 = 7"
     old = "date < '1995-08-10'"
     arrive("m", bars.where(f"{old} AND NOT ({missing}) AND ticker <> '5-LOW'"))
@@ -127,6 +130,12 @@ def test_runs_over_new_files_equal_runs_over_all_files(spark, bars, monkeypatch)
         run(spark, raw, root)
     base = releases.Releases(spark, root)
     assert base.number == 5 and not run_folders(spark)
+    assert base.slices_of("raw_files") == ["4", "5"]
+    with pytest.raises(ValueError, match="is stored in 4 buckets, not 8"):
+        daily.tables(spark, root, 8)
+    with pytest.raises(ValueError, match="buckets"):
+        base.next_run().write(base.read("ticker_summary", daily.SUMMARY, daily.BUCKET).drop("slice"), "ticker_summary",
+                              daily.summary_slice(), "ticker", key="ticker", buckets=2)
     read_for_report = {f.split("/run=")[0].rsplit("/", 1)[1] for f in daily.report(base, fx.TICKERS, RUN, START).inputFiles()}
     assert read_for_report == {"month_counts", "ticker_state", "ticker_summary"}
 
