@@ -391,7 +391,7 @@ def places(blocks: list[Block]) -> list[int]:
     for b in blocks:
         kinds = {kind for number, kind in b.marks if kind == FIRM or words[number] <= half}
         chrome = FIRM in kinds or NAMED in kinds
-        out.append(CHROME if chrome else ARTICLE if b.article else DOUBTFUL if kinds else OPEN)
+        out.append(CHROME if chrome else DOUBTFUL if kinds else ARTICLE if b.article else OPEN)
     if ARTICLE in out:
         out = [OUTSIDE if place == OPEN else place for place in out]
     return out
