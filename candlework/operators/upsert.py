@@ -19,7 +19,8 @@ def unique_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df``, with an error for a key that several rows have.
 
     As in SQL a key with a NULL part is equal to none. The rows are brought together
-    by ``keys``, as a join on them needs anyway.
+    by ``keys``, as a join on them needs anyway; rows that lie by some of the keys, such
+    as those of the feature windows, stay where they are.
     """
     whole = F.lit(True)
     for k in keys:
@@ -31,6 +32,15 @@ def unique_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counted.where(one).drop("_n")
 
 
+def declared_types(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema``, in its order and types, and nothing checked.
+
+    A column that has its type already is left as it is, so rows that lie by the keys
+    are known to do so still.
+    """
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def conform_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The columns of ``schema``, in its order and types.
 

@@ -15,17 +15,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _bars(rows: DataFrame, order: Column, volume: Column) -> DataFrame:
-    """Bars of rows with ticker, date and price; open and close by ``order``."""
+def _bars(rows: DataFrame, first: Column, last: Column, volume: Column) -> DataFrame:
+    """Bars of rows with ticker, date and price; open and close are ``first`` and ``last``."""
     return rows.groupBy("ticker", "date").agg(
-        F.min_by("price", order).alias("open"),
+        first.alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
-        F.max_by("price", order).alias("close"),
+        last.alias("close"),
         volume.alias("volume"),
     )
 
 
+def _bars_by(rows: DataFrame, order: str, volume: Column) -> DataFrame:
+    """Bars whose open and close are the prices at the smallest and largest ``order``."""
+    return _bars(rows, F.min_by("price", order), F.max_by("price", order), volume)
+
+
 def bars_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five tickers with a long history."""
     rows = table(spark, sf_dir, "orders").select(
@@ -34,7 +39,7 @@ def bars_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").alias("price"),
         "o_orderkey",
     )
-    return _bars(rows, F.col("o_orderkey"), F.count(F.lit(1)))
+    return _bars_by(rows, "o_orderkey", F.count(F.lit(1)))
 
 
 def bars_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,9 +53,11 @@ def bars_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_partkey",
         "l_quantity",
     )
-    # l_orderkey and l_linenumber alone do not tell all rows apart.
+    # l_orderkey and l_linenumber alone do not tell all rows apart. The price is part of
+    # the order, so the extreme itself holds it: no second copy goes over the shuffle.
     order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "price")
-    bars = _bars(rows, order, F.sum(F.col("l_quantity").cast("bigint")))
+    first, last = F.min(order)["price"], F.max(order)["price"]
+    bars = _bars(rows, first, last, F.sum(F.col("l_quantity").cast("bigint")))
     # Grouped by number, named afterwards.
     return bars.withColumn("ticker", F.concat(F.lit("S"), F.col("ticker")))
 
@@ -63,7 +70,7 @@ def bars_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("price"),
         "event_id",
     )
-    return _bars(rows, F.col("event_id"), F.count(F.lit(1)))
+    return _bars_by(rows, "event_id", F.count(F.lit(1)))
 
 
 def bars_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:

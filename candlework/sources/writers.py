@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 
 from candlework.functions.columns import landing_key, nan_to_null
 from candlework.operators.clean import date_window, dedup_keep_last
-from candlework.operators.upsert import conform_schema, merge_unique, unique_rows
+from candlework.operators.upsert import conform_schema, declared_types, merge_unique, unique_rows
 from candlework.session import stored
 from candlework.sources.readers import read_if_there
 
@@ -112,23 +112,30 @@ def upsert_table(
 
     The table is partitioned by ``slice_of``, an expression over the keys with few
     values (months, or buckets). The incoming rows, in their declared types, are
-    written down once; only the slices of these very rows are read and replaced. The
+    written down once; only the slices of these very rows are read and replaced. Rows of
+    slices that the table does not hold yet have nothing to be joined with. The
     replacement of several slices is not atomic as a whole and relies on renames.
     """
     spark = incoming.sparkSession
     rows = nan_to_null(incoming)
     if last_by is not None:
         rows = dedup_keep_last(rows, list(keys), last_by)
-    rows = conform_schema(rows, schema)
     if last_by is None:
-        rows = unique_rows(rows, keys)
+        # Before the other checks, which hide from Spark that the rows lie by the keys.
+        rows = unique_rows(declared_types(rows, schema), keys)
+    rows = conform_schema(rows, schema)
     if read_if_there(lambda: spark.read.parquet(path)) is not None:
         rows = stored(rows.withColumn("slice", slice_of), "incoming")
+        table = spark.read.parquet(path)
         # Bounded by the calendar or the number of buckets; reads this column alone.
-        touched = [r[0] for r in rows.select("slice").distinct().collect()]
-        table = spark.read.parquet(path).where(F.col("slice").isin(touched))
+        stored_slices = table.select(F.col("slice").alias("_stored")).distinct()
+        touched = rows.select("slice").distinct().join(stored_slices, F.col("slice") == F.col("_stored"))
+        is_touched = F.col("slice").isin([r.slice for r in touched.collect()])
         columns = schema.fieldNames()
-        rows = merge_unique(table.select(columns), rows.select(columns), keys, update_cols)
+        old, met = (df.where(is_touched).select(columns) for df in (table, rows))
+        # NULL is equal to no slice.
+        unmet = rows.where(~F.coalesce(is_touched, F.lit(False))).select(columns)
+        rows = merge_unique(old, met, keys, update_cols).unionByName(unmet)
     (
         _by_folder(rows.withColumn("slice", slice_of), "slice", *keys)
         .write.mode("overwrite")

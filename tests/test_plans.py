@@ -6,6 +6,7 @@ import re
 import pytest
 
 from candlework.operators import analytics, clean, features, quality, summary, upsert
+from candlework.plans import catalog
 from candlework.plans import fixtures as fx
 from candlework import session
 from candlework.schemas import ENRICHED
@@ -131,3 +132,25 @@ def test_a_stored_table_opens_only_the_months_in_question(table):
     assert sorted(recent.select(*keys).collect()) == sorted(
         analytics.recent_days(table).select(*keys).collect()
     )
+
+
+def test_a_load_of_features_shuffles_them_once_before_the_months(stored, monkeypatch):
+    """The check for doubled keys takes the rows as the windows leave them; a later load
+    joins only rows of months that the table holds."""
+    written, by_folder = [], writers._by_folder
+    monkeypatch.setattr(writers, "_by_folder", lambda df, *by: written.append(df) or by_folder(df, *by))
+    path = scratch_path(stored.sparkSession, "table")
+    for rows in fx.upsert_pair(fx.enriched_of(stored)):
+        writers.upsert_table(rows, path, ENRICHED, ["ticker", "date"], ["close"], writers.enriched_slice())
+    assert exchanges(written[0]) == 1
+    assert len(re.findall(r"PartitionFilters: \[[^]]*slice#\d+ = 2000-05-01", plan_of(written[1]))) >= 1
+    assert re.search(r"Filter .*slice#\d+ = 2000-05-01", plan_of(written[1]))
+
+
+def test_the_stored_upsert_builds_its_bars_once(spark, sf_dir, monkeypatch):
+    scans, table_of = [], fx.table
+    monkeypatch.setattr(fx, "table", lambda *args: scans.append(args) or table_of(*args))
+    writes, store = [], catalog.stored
+    monkeypatch.setattr(catalog, "stored", lambda df, name: writes.append(name) or store(df, name))
+    catalog.upsert_enriched_table(spark, sf_dir)
+    assert len(scans) == 1 and writes == ["bars"]

@@ -142,3 +142,13 @@ def test_a_ticker_has_a_length(spark):
         conform_schema(full, ENRICHED).collect()
     got = {r.constraint_name: r.n_violations for r in constraint_violations(full, full.select("ticker")).collect()}
     assert got["enriched_stocks.ticker length"] == got["ticker_summary.ticker length"] == 1
+
+
+def test_new_slices_are_inserted_beside_merged_ones(spark):
+    path, month, schema = scratch_path(spark, "t"), F.trunc("d", "MM"), spark.createDataFrame([], SCHEMA).schema
+    old = [("A", JAN, 1.0, 1.0), ("B", FEB, 2.0, 2.0)]
+    new = [("A", JAN, 9.0, 9.0), ("C", JAN, 3.0, 3.0), ("A", MAR, 4.0, 4.0), (None, MAR, 5.0, 5.0), ("A", None, 6.0, 6.0)]
+    for rows in (old, new):
+        upsert_table(spark.createDataFrame(rows, schema), path, schema, ["k", "d"], ["changed"], month)
+    got = rows_of(spark.read.parquet(path).select(*schema.fieldNames()))
+    assert got == sorted([("A", JAN, 1.0, 9.0), old[1], *new[1:]], key=str)
