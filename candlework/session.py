@@ -64,6 +64,23 @@ def run_scratch(spark: SparkSession) -> Iterator[str]:
         delete_folder(spark, f"{scratch_root(spark)}/{name}")
 
 
+@contextlib.contextmanager
+def tasks_a_core(spark: SparkSession, setting: str, tasks: int = 4) -> Iterator[None]:
+    """Meanwhile ``setting``, a number of tasks, is so many for each core.
+
+    For work on very many files, whose tasks Spark counts by bytes or by folders. A
+    setting that the session makes itself stands.
+    """
+    if spark.conf.get(setting, None) is not None:
+        yield
+        return
+    spark.conf.set(setting, tasks * spark.sparkContext.defaultParallelism)
+    try:
+        yield
+    finally:
+        spark.conf.unset(setting)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Deletes a folder of any file system that Spark writes to; none is fine."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -13,13 +13,15 @@ from pyspark.sql import types as T
 from candlework.functions.columns import snake_case
 from candlework.operators.clean import date_window
 from candlework.schemas import ENRICHED, SUMMARY
-from candlework.session import stored
+from candlework.session import stored, tasks_a_core
 
 Paths = str | list[str]
 # A comma outside quotes: an even number of quotes follows.
 SEPARATOR = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 # The text of a line that does not have as many fields as the schema.
 ODD_LINE = "_odd_line"
+# Folders are listed by a task each, up to this number.
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 
 def require_non_empty(
@@ -69,10 +71,10 @@ def _headers(spark: SparkSession, path: Paths) -> DataFrame:
         plain = F.regexp_replace(F.regexp_replace(field, '^"|"$', ""), '""', '"')
         return F.replace(F.lower(plain), F.lit(" "), F.lit("_"))
 
+    with tasks_a_core(spark, LISTING_TASKS):
+        lines = _csv_options(spark.read).text(path)
     first = (
-        _csv_options(spark.read)
-        .text(path)
-        .where((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
+        lines.where((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
         .select(
             F.col("_metadata.file_path").alias("file"),
             F.regexp_replace("value", "^\ufeff", "").alias("line"),
@@ -99,7 +101,7 @@ def _read_text(
 ) -> DataFrame:
     """The files by position, as ``columns``, with each row's file and place."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, ODD_LINE]])
-    rows = (
+    reader = (
         _csv_options(spark.read)
         .option("header", True)
         .option("enforceSchema", not check_header)
@@ -107,8 +109,9 @@ def _read_text(
         # The fields of a line are counted only where all of them are parsed.
         .option("columnPruning", False)
         .schema(schema)
-        .csv(path)
     )
+    with tasks_a_core(spark, LISTING_TASKS):
+        rows = reader.csv(path)
     # The ids rise along each part of a file; they are taken here, before any join.
     return rows.select(
         "*",

@@ -18,11 +18,13 @@ from pyspark.sql.types import StructType
 from candlework.functions.columns import landing_key, nan_to_null
 from candlework.operators.clean import date_window, dedup_keep_last
 from candlework.operators.upsert import conform_schema, declared_types, merge_unique, unique_rows
-from candlework.session import stored
+from candlework.session import stored, tasks_a_core
 from candlework.sources.readers import read_if_there
 
 RECORDS_PER_FILE = 5_000_000
 SUMMARY_BUCKETS = 16
+# Adaptive execution merges small partitions down to this number, not below it.
+LEAST_TASKS = "spark.sql.adaptive.coalescePartitions.minPartitionNum"
 
 
 def _by_folder(df: DataFrame, folder: str, *order: str) -> DataFrame:
@@ -39,18 +41,20 @@ def land_raw(
     """Replace the raw files: one folder per ticker, named with the run date.
 
     The ticker stays inside the files. ``start`` and ``end``, each by itself, limit
-    the dates.
+    the dates. Files cost more than their bytes, so the tickers are dealt over several
+    tasks a core: few tasks of equal bytes would leave most cores idle during the last.
     """
     keyed = date_window(df, start, end).withColumn("landing_key", landing_key(F.col("ticker"), run_date))
-    (
-        _by_folder(keyed, "landing_key", "date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .option("header", True)
-        .option("maxRecordsPerFile", RECORDS_PER_FILE)
-        .partitionBy("landing_key")
-        .csv(path)
-    )
+    with tasks_a_core(df.sparkSession, LEAST_TASKS):
+        (
+            _by_folder(keyed, "landing_key", "date")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .option("header", True)
+            .option("maxRecordsPerFile", RECORDS_PER_FILE)
+            .partitionBy("landing_key")
+            .csv(path)
+        )
 
 
 def write_enriched(enriched: DataFrame, path: str) -> None:

@@ -232,3 +232,30 @@ def test_date_window_reaches_the_scan(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(date,2024-01-01)" in plan and "LessThan(date,2024-01-04)" in plan
     assert got.where(F.col("date") == DAY).count() == 2
+
+
+def test_many_raw_files_are_dealt_over_several_tasks_a_core_and_listed_by_few(spark):
+    path, cores = scratch_path(spark, "raw"), spark.sparkContext.defaultParallelism
+    settings = {"spark.sql.shuffle.partitions": "100", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "100b"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        days = "explode(sequence(DATE'2024-01-01', DATE'2024-01-20')) AS date"
+        rows = spark.range(0, 200, 1, 8).selectExpr("'T' || id AS ticker", days, "id / 7 AS close")
+        writers.land_raw(rows, path, DAY)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        got = readers.read_bars_csv(spark, path, ["ticker", "date", "close"])
+        stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert stages and max(tracker.getStageInfo(s).numTasks for s in stages) <= 4 * cores
+    files = got.inputFiles()
+    assert len(files) == 200 and len({f.split("/part-")[1][:5] for f in files}) > 2 * cores
+    assert got.count() == 4000
+    assert spark.conf.get(writers.LEAST_TASKS, None) is None and spark.conf.get(readers.LISTING_TASKS, None) is None
