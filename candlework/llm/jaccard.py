@@ -12,6 +12,10 @@ its documents.
 Pairs are not listed without need, as only components are asked for. In each bucket of
 a shingle all documents are compared with its most central one first. What remains
 are documents of one bucket that are not linked yet; those are compared in full.
+
+In large tables very many pairs share a shingle by chance; they grow as the square of
+the documents. So no text is moved for a pair before its prefixes, each shingle cut to
+16 bits, are known to share as many as those of two sets so alike do at least.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 from candlework.llm.filters import only_ids, without_ids
 from candlework.llm.graph import components
 from candlework.llm.text import NOT_SPACE, U64, blocks, shingle_sets, words
-from candlework.session import stored
+from candlework.session import shuffles_freed, stored
 
 SHINGLE = 5
 #: Shingles that are counted and broadcast at most: 2 MB. It bounds the detail of the order, not the results.
@@ -34,6 +38,8 @@ COMMON = 1 << 17
 #: Shingles that are counted at a time in a task.
 COUNTED = 1 << 22
 _SIEVE = 22
+#: Columns of a pair of groups: ids and sizes.
+_PAIR = ["a", "n_a", "b", "n_b"]
 
 
 def _common_counts(batches):
@@ -131,31 +137,29 @@ def _sketch(shared, key):
     return run
 
 
-def _sets(batches):
-    for batch in batches:
-        column = batch.column("text")
-        for a, b in blocks(column):
-            sets = shingle_sets(words(column.slice(a, b - a), NOT_SPACE), SHINGLE)
-            offsets = np.append(0, np.cumsum([len(s) for s in sets])).astype(np.int32)
-            flat = np.concatenate(sets).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id").slice(a, b - a), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                names=["id", "set"],
-            )
+def _sets_of(column: pa.Array) -> list[np.ndarray]:
+    """The set of each text; the set of a text that comes again is made once."""
+    once = column.dictionary_encode()
+    sets = []
+    for a, b in blocks(once.dictionary):
+        sets += shingle_sets(words(once.dictionary.slice(a, b - a), NOT_SPACE), SHINGLE)
+    return [sets[i] for i in once.indices.to_pylist()]
+
+
+def _shared(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values two arrays share; if an array has a value twice, at least so many."""
+    both = np.concatenate([a, b])
+    both.sort(kind="stable")
+    return int(np.count_nonzero(both[1:] == both[:-1]))
 
 
 def _linked(batches):
     for batch in batches:
-        x, y = batch.column("set_a"), batch.column("set_b")
+        x, y = batch.column("text_a"), batch.column("text_b")
         keep = []
-        xo, yo = x.offsets.to_numpy(), y.offsets.to_numpy()
-        xs, ys = x.values.to_numpy(zero_copy_only=False), y.values.to_numpy(zero_copy_only=False)
-        for i in range(len(batch)):
-            a, b = xs[xo[i] : xo[i + 1]], ys[yo[i] : yo[i + 1]]
-            both = np.concatenate([a, b])
-            both.sort(kind="stable")
-            shared = int(np.count_nonzero(both[1:] == both[:-1]))
-            keep.append(9 * shared >= 4 * (len(a) + len(b)))
+        for start, stop in blocks(x):
+            for a, b in zip(*(_sets_of(c.slice(start, stop - start)) for c in (x, y)), strict=True):
+                keep.append(9 * _shared(a, b) >= 4 * (len(a) + len(b)))
         at = pa.array(np.flatnonzero(keep))
         yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], names=["a", "b"])
 
@@ -163,21 +167,63 @@ def _linked(batches):
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Those of ``pairs`` (a, b) whose texts' sets are similar enough, counted exactly.
 
-    Sets are made again for the documents of the pairs alone, and meet in two joins,
-    which split a document of many pairs.
+    Texts of the documents of the pairs alone are moved, as they are smaller than their
+    sets, and meet in two joins, which split a document of many pairs.
     """
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = only_ids(docs, "id", ids, "id")
     kind = docs.schema["id"].dataType.simpleString()
-    sets = stored(texts.mapInArrow(_sets, f"id {kind}, set array<bigint>"), "sets")
     both = (
-        pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
-        .join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
-        .select("a", "b", "set_a", "set_b")
+        pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+        .join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+        .select("a", "b", "text_a", "text_b")
     )
     return both.mapInArrow(_linked, f"a {kind}, b {kind}").distinct()
 
 
+def _signs(batches):
+    """Prefixes, each shingle cut to 16 bits."""
+    for batch in batches:
+        prefix = batch.column("prefix")
+        offsets = prefix.offsets
+        flat = pa.array(prefix.values.to_numpy(zero_copy_only=False).astype(np.int16))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), batch.column("n"), pa.ListArray.from_arrays(offsets, flat)], names=["id", "n", "sign"]
+        )
+
+
+def _plausible(batches):
+    for batch in batches:
+        x, y = batch.column("sign_a"), batch.column("sign_b")
+        n_a, n_b = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
+        xo, yo = x.offsets.to_numpy(), y.offsets.to_numpy()
+        xs, ys = x.values.to_numpy(zero_copy_only=False), y.values.to_numpy(zero_copy_only=False)
+        shared = [_shared(xs[xo[i] : xo[i + 1]], ys[yo[i] : yo[i + 1]]) for i in range(len(batch))]
+        # Of the 4 (n_a + n_b) / 9 that alike sets share, all but so many may lie behind the prefixes.
+        least = (4 * (n_a + n_b) + 8) // 9 - (4 * np.maximum(n_a, n_b) + 4) // 5 + 1
+        at = pa.array(np.flatnonzero(np.array(shared, np.int64) >= least))
+        yield pa.RecordBatch.from_arrays([batch.column(c).take(at) for c in _PAIR], names=_PAIR)
+
+
+
+def plausible(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
+    """``pairs`` (a, n_a, b, n_b) without those whose prefixes share too few shingles for alike sets.
+
+    Pairs stay in that share enough of them by 16 bits only.
+    """
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    kind = sketch.schema["id"].dataType.simpleString()
+    signs = only_ids(sketch.select("id", "n", "prefix"), "id", ids, "id").mapInArrow(
+        _signs, f"id {kind}, n bigint, sign array<smallint>"
+    )
+    both = (
+        pairs.join(signs.toDF("b", "n_b", "sign_b"), ["b", "n_b"])
+        .join(signs.toDF("a", "n_a", "sign_a"), ["a", "n_a"])
+        .select(*_PAIR, "sign_a", "sign_b")
+    )
+    return both.mapInArrow(_plausible, f"a {kind}, n_a bigint, b {kind}, n_b bigint").distinct()
+
+
 def _may_link(x: Column, y: Column) -> Column:
     """Size and place let a pair with a common shingle there reach the limit, were it the first."""
     need = F.ceil((4 * (x["n"] + y["n"])) / F.lit(9.0))
@@ -188,51 +234,68 @@ def _may_link(x: Column, y: Column) -> Column:
     )
 
 
-def _alias(df: DataFrame, name: str) -> DataFrame:
-    return df.select("bucket", F.struct(*[c for c in df.columns if c != "bucket"]).alias(name))
+def _pairs_of(met: DataFrame, x: Column, y: Column) -> DataFrame:
+    """The distinct pairs of ids and sizes of ``met``."""
+    low, high = (f(*(F.struct(z["id"].alias("id"), z["n"].alias("n")) for z in (x, y))) for f in (F.least, F.greatest))
+    pairs = met.select(low.alias("low"), high.alias("high"))
+    return pairs.select(*(F.col(c).alias(p) for c, p in zip(("low.id", "low.n", "high.id", "high.n"), _PAIR, strict=True))).distinct()
 
 
-def _central_pairs(rows: DataFrame) -> DataFrame:
-    """In each bucket every row with the one of the earliest place."""
-    centre = rows.groupBy("bucket").agg(F.min(F.struct("place", "id", "n")).alias("y"))
+def _centred(rows: DataFrame) -> DataFrame:
+    """The rows of buckets of several: how many, the one of the earliest place, and the others each as x."""
+    centre = rows.groupBy("bucket").agg(F.count("*").alias("size"), F.min(F.struct("place", "id", "n")).alias("centre"))
     return (
-        _alias(rows.select("bucket", "place", "id", "n"), "x")
-        .join(centre, "bucket")
-        .where((F.col("x.id") != F.col("y.id")) & _may_link(F.col("x"), F.col("y")))
-        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-        .distinct()
+        rows.select("bucket", F.struct("place", "id", "n").alias("x"))
+        .join(centre.where("size > 1"), "bucket")
+        .where("x <> centre")
     )
 
 
+def _central_pairs(centred: DataFrame) -> DataFrame:
+    """In each bucket every row with the one of the earliest place."""
+    x, y = F.col("x"), F.col("centre")
+    return _pairs_of(centred.where((x["id"] != y["id"]) & _may_link(x, y)), x, y)
+
+
 def _remaining_pairs(rows: DataFrame) -> DataFrame:
-    """In each bucket with several labels, the pairs of different labels.
+    """In each bucket with several labels, the pairs of different labels; a null label differs from all.
 
     One side are the rows without the label of the most central row: all pairs of
     different labels have one.
     """
     several = rows.groupBy("bucket").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("rows"),
-        F.min(F.struct("place", "id", "label")).alias("centre"),
-    ).where("low <> high AND rows > 2").select("bucket", F.col("centre.label").alias("main"))
-    mixed = rows.join(several, "bucket")
-    x = _alias(mixed.where("label <> main").select("bucket", "place", "id", "n", "label", "main"), "x")
-    y = _alias(mixed.select("bucket", "place", "id", "n", "label"), "y")
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("label").alias("known"),
+        F.count("*").alias("rows"), F.min(F.struct("place", "id", "n", "label")).alias("centre"),
+    ).where("rows > 1 AND (known < rows OR low <> high)").select("bucket", F.col("centre.label").alias("main"))
+    mixed = rows.join(several, "bucket").select(
+        "bucket", F.struct("place", "id", "n", "label", F.coalesce(F.col("label") == F.col("main"), F.lit(False)).alias("is_main")).alias("x")
+    )
+    x, y = F.col("x"), F.col("y")
+    same = F.coalesce(x["label"] == y["label"], F.lit(False))
+    first = F.struct(x["id"], x["n"]) < F.struct(y["id"], y["n"])
+    pairs = mixed.where("NOT x.is_main").join(mixed.withColumnRenamed("x", "y"), "bucket")
+    return _pairs_of(pairs.where((x["id"] != y["id"]) & ~same & (y["is_main"] | first) & _may_link(x, y)), x, y)
+
+
+def _documents(pairs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """The documents of different labels of pairs of groups."""
+    x, y = (
+        labelled.select(F.col("group").alias(c), F.col("n").alias(f"n_{c}"), F.col("id").alias(f"id_{c}"), F.col("label").alias(f"label_{c}"))
+        for c in ("a", "b")
+    )
     return (
-        x.join(y, "bucket")
-        .where(
-            (F.col("x.label") != F.col("y.label"))
-            & ((F.col("y.label") == F.col("x.main")) | (F.col("x.id") < F.col("y.id")))
-            & _may_link(F.col("x"), F.col("y"))
-        )
-        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+        pairs.join(x, ["a", "n_a"]).join(y, ["b", "n_b"])
+        .where("label_a <> label_b")
+        .select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
         .distinct()
-    )
+    )
 
 
 def _labelled(ids: DataFrame, links: DataFrame) -> DataFrame:
     return ids.join(components(links), "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
 
 
+@shuffles_freed
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``n_shingles`` and ``component_id`` of every row.
 
@@ -271,17 +334,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         rare.unionByName(common).join(heads.withColumnRenamed("group", "id"), "id", "left_semi").distinct(), "buckets"
     )
     inside = members.where("id <> group").select(F.col("group").alias("a"), F.col("id").alias("b"))
-    first = stored(_central_pairs(rows).unionByName(inside), "pairs")
+    centred = stored(_centred(rows), "centred")
+    met = stored(plausible(stored(_central_pairs(centred), "met"), sets), "met")
+    first = stored(met.select("a", "b").unionByName(inside).distinct(), "pairs")
     links = stored(verified(first, texts), "links")
-    # From here on documents, not groups: a group is a bucket of its own as well.
+    # From here on also documents, not groups alone. A group without one label differs from all, itself included.
     labelled = stored(_labelled(members, links), "labels")
-    expanded = rows.withColumnRenamed("id", "group").drop("n").join(labelled, "group").drop("group")
-    alone = labelled.join(inside.select(F.col("a").alias("group")).distinct(), "group", "left_semi").select(
-        F.lit(0).alias("place"), F.xxhash64("group", F.lit(3)).alias("bucket"), "id", "n", "label"
-    )
-    second = stored(
-        _remaining_pairs(expanded.unionByName(alone)).join(first, ["a", "b"], "left_anti"), "pairs"
+    labels = labelled.groupBy(F.col("group").alias("id"), "n").agg(
+        F.when(F.min("label") == F.max("label"), F.min("label")).alias("label")
     )
+    others = centred.where("size > 2").select("bucket", "x.*").join(labels, ["id", "n"])
+    more = plausible(stored(_remaining_pairs(others), "met"), sets)
+    itself = labels.where("label IS NULL").select(*(F.col(c).alias(p) for c, p in zip(("id", "n") * 2, _PAIR, strict=True)))
+    pairs = _documents(met.unionByName(more).unionByName(itself), labelled)
+    second = stored(pairs.join(first, ["a", "b"], "left_anti"), "pairs")
     links = stored(links.unionByName(verified(second, texts)), "links")
     found = classes.select("n", "d1", "d2", "p1", "p2", "id")
     final = _labelled(found, links).withColumnRenamed("label", "component_id").drop("id")

@@ -81,6 +81,29 @@ def tasks_a_core(spark: SparkSession, setting: str, tasks: int = 4) -> Iterator[
         spark.conf.unset(setting)
 
 
+def shuffles_freed(function):
+    """For functions of a DataFrame: what a query inside has shuffled is deleted as soon as the query ends.
+
+    Otherwise it lies on the executors' disks until the driver happens to collect its
+    garbage. It is for functions that store what they go on with: a query that is run
+    again shuffles again. A setting that the session makes itself stands.
+    """
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    @functools.wraps(function)
+    def run(df: DataFrame, *args, **kwargs):
+        conf = df.sparkSession.conf
+        if setting in conf.getAll:
+            return function(df, *args, **kwargs)
+        conf.set(setting, True)
+        try:
+            return function(df, *args, **kwargs)
+        finally:
+            conf.unset(setting)
+
+    return run
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Deletes a folder of any file system that Spark writes to; none is fine."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -5,6 +5,7 @@ import collections
 import pickle
 import random
 import re
+import time
 import tracemalloc
 import zlib
 
@@ -203,6 +204,60 @@ def test_near_duplicates(spark, table, awkward, empty):
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 0, 1, 2, 3, 4, 5, 8, 9]
 
 
+def test_chance_meetings_are_not_compared(spark, monkeypatch):
+    """Pairs that share a shingle by chance, as many pairs of a large table do, move no texts."""
+    phrases = {(i, j): [f"p{i}x{j}x{k}" for k in range(5)] for i in range(30) for j in range(i)}
+    docs = [(i, " ".join(w for pair, words in phrases.items() if i in pair for w in [*words, f"u{i}x{pair}"])) for i in range(30)]
+    docs += [(100 + i, text + " end") for i, text in docs[:3]]
+    compared, verified = [], jaccard.verified
+    monkeypatch.setattr(jaccard, "verified", lambda pairs, texts: compared.extend(rows(pairs)) or verified(pairs, texts))
+    # A task for each document: its shingles are not known to be common.
+    df = spark.createDataFrame(spark.sparkContext.parallelize(docs, len(docs)), "doc_id bigint, text string")
+    got = {r[0]: r[1:] for r in rows(jaccard.near_duplicates(df))}
+    assert got == brute.components(docs)
+    assert sorted(map(tuple, compared)) == [(0, 100), (1, 101), (2, 102)]
+
+
+def test_near_duplicates_among_equal_prefixes_and_shared_paragraphs(spark, monkeypatch):
+    rng = random.Random(9)
+    fresh = (f"w{i}" for i in range(100_000))
+    take = lambda n: [next(fresh) for _ in range(n)]
+    start = take(4)
+    p, q = start + take(146), start + take(146)
+    q2 = [*q[:70], "other", *q[71:]]
+    # Of the three with one beginning and thus one prefix, the first is like neither of the others.
+    texts = [base + block for base in [take(60) for _ in range(12)] for block in (p, q, q2)]
+    # Unlike documents that share paragraphs, and near copies of some.
+    paragraphs = [take(40) for _ in range(12)]
+    for _ in range(40):
+        text = sum(rng.sample(paragraphs, 6), [])
+        texts += [text, [*text[:100], "x", *text[rng.randint(101, 130) :]]]
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    expected = brute.components(docs)
+    assert [expected[i][1] for i in range(3)] == [0, 1, 1]
+    assert {r[0]: r[1:] for r in rows(jaccard.near_duplicates(df.coalesce(1)))} == expected
+    # None is compared with the most central one, so that links are found among what remains.
+    monkeypatch.setattr(jaccard, "_central_pairs", lambda centred, f=jaccard._central_pairs: f(centred).limit(0))
+    kept = jaccard._centred
+    monkeypatch.setattr(jaccard, "_centred", lambda rows, f=kept: f(rows).unionByName(f(rows).selectExpr("bucket", "centre AS x", "size", "centre").distinct()).withColumn("size", F.lit(3)))
+    assert {r[0]: r[1:] for r in rows(jaccard.near_duplicates(df.repartition(5)))} == expected
+
+
+def test_shuffles_are_freed(spark):
+    """Nothing that the steps of a join have shuffled is left when it returns its lazy result."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: set(re.findall(r"shuffle_\d+_\d+_\d+\.data", manager.getAllFiles().mkString(" ")))
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i + k) % 97}" for k in range(20))) for i in range(200)], "doc_id bigint, text string")
+    before = shuffled()
+    jaccard.near_duplicates(docs)
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(900, 901), (901, 901)], "a bigint, b bigint")
     got = {r["id"]: r["component"] for r in graph.components(edges).collect()}
